@@ -35,21 +35,20 @@ def recency_weighted_mean(
 ) -> DataFrame:
     """Mean per key in which a year ``y`` weighs ``1 - (now - y) / (now - first + 1)``.
 
-    ``first`` is the key's earliest year, so the weights need it before they can be summed. Written
-    out, both sums are linear in ``1 / (now - first + 1)``, and one aggregation with map-side
-    partial sums is enough: no window and no second pass, however many rows one key has.
+    ``first`` is the key's earliest year, so a weight is ``(y - first + 1) / (now - first + 1)``. The
+    divisor is the same for all rows of a key and cancels; what is left is linear in ``y``, so one
+    aggregation with map-side partial sums is enough: no window and no second pass, however many
+    rows one key has. For years up to ``now``; ``now`` itself no longer matters then.
     A missing value adds nothing above the line but keeps its weight below, a missing year neither.
     """
-    age = F.lit(now) - F.col(year)
-    has_year = F.col(year).isNotNull()
-    sums = df.groupBy(*keys).agg(
-        F.min(year).alias("_first"),
-        F.sum(F.when(has_year, F.col(value))).alias("_values"),
-        F.sum(F.col(value) * age).alias("_aged_values"),
-        F.count(year).alias("_rows"),
-        F.sum(age).alias("_ages"),
+    fixed = F.col(value).try_cast(SPEED_DECIMAL)
+    sums = df.filter(F.col(year) <= now).groupBy(*keys).agg(
+        (F.min(year) - 1).alias("_before"),
+        F.sum(fixed).alias("_values"),
+        F.sum(fixed * F.col(year)).alias("_values_by_year"),
+        F.count("*").alias("_rows"),
+        F.sum(F.col(year).cast("bigint")).alias("_years"),
     )
-    span = (F.lit(now) - F.col("_first") + 1).cast("double")
-    top = F.col("_values") - F.try_divide(F.col("_aged_values"), span)
-    bottom = F.col("_rows") - F.try_divide(F.col("_ages"), span)
-    return sums.select(*keys, F.try_divide(top, bottom).alias(out))
+    top = F.col("_values_by_year") - F.col("_before") * F.col("_values")
+    bottom = F.col("_years") - F.col("_before") * F.col("_rows")
+    return sums.select(*keys, F.try_divide(top.cast("double"), bottom).alias(out))

@@ -9,9 +9,9 @@ from paceline.operators.aggregates import recency_weighted_mean
 def weighted_history(distance: DataFrame, length_km: float, now: int) -> DataFrame:
     """Mean speed per runner over races of exactly this length up to the year ``now``, recent years
     weighing more; to four decimals."""
-    races = distance.filter(
-        (F.col("distance_km") == length_km) & (F.col("year_of_event") <= now)
-    ).withColumnRenamed("athlete_id", "runner_id")
+    races = distance.filter(F.col("distance_km") == length_km).withColumnRenamed(
+        "athlete_id", "runner_id"
+    )
     means = recency_weighted_mean(
         races, ["runner_id"], "year_of_event", "athlete_average_speed_kmph", now, "average_speed"
     )

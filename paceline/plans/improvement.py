@@ -27,7 +27,8 @@ from paceline.operators.ranking import (
     top_dense_rank,
 )
 from paceline.plans.questions import BAND, SPEED, TOP, by_band, long_enough
-from paceline.session import checkpointed
+from paceline.session import shared_path
+from paceline.sources.files import read_table, write_table
 
 WHO = ["athlete_id", BAND]
 INFINITE = float("inf")
@@ -87,6 +88,12 @@ def _careers(runs: DataFrame) -> DataFrame:
     )
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = shared_path(df.sparkSession, name)
+    write_table(df, path)
+    return read_table(df.sparkSession, path)
+
+
 def _speeds_of_ends(runs: DataFrame, careers: DataFrame) -> DataFrame:
     """Distinct speeds of the first and last day of the given careers, with the number of copies."""
     ends = careers.withColumn(
@@ -99,7 +106,7 @@ def _speeds_of_ends(runs: DataFrame, careers: DataFrame) -> DataFrame:
         ),
     ).select(*WHO, F.col("_end.day").alias("event_dates"), "_end.is_first", "_f1", "_f2", "_l1", "_l2")
     speeds = (
-        join_same(runs.filter(SPEED != 0), broadcast_if(ends, ends.count()), [*WHO, "event_dates"])
+        join_same(runs.filter(SPEED != 0), ends, [*WHO, "event_dates"])
         .groupBy(*WHO, "is_first", "_f1", "_f2", "_l1", "_l2", SPEED.alias("speed"))
         .agg(F.count("*").alias("copies"))
     )
@@ -115,13 +122,16 @@ def _speeds_of_ends(runs: DataFrame, careers: DataFrame) -> DataFrame:
 def most_improved(distance: DataFrame, k: int = TOP) -> DataFrame:
     """Top ten improvements per band. Days compare as text, as they are stored.
 
-    Runs one job on the way, to learn how many careers are left and whether to broadcast them.
+    The results are read twice, with one job each time. What each reading leaves is stored: Spark
+    then knows the size of the careers, and broadcasts them if they are below its threshold, so the
+    second reading needs no shuffle of the results; and no later step reaches back to the results.
     """
     runs = distance.filter(
         long_enough() & F.col("athlete_id").isNotNull() & F.col("event_dates").isNotNull()
     ).select(*WHO, "event_dates", "athlete_average_speed_kmph")
-    careers = checkpointed(_reaching_floor(_careers(runs), "_best", k))
-    speeds = _reaching_floor(_speeds_of_ends(runs, careers), "_best", k)
+    careers = _stored(_reaching_floor(_careers(runs), "_best", k), "careers")
+    speeds = _stored(_speeds_of_ends(runs, careers), "career_speeds")
+    speeds = _reaching_floor(speeds, "_best", k)
     firsts = speeds.filter("is_first").select(
         *WHO, F.col("speed").alias("avg_speed_first_marathon"), F.col("copies").alias("_n1")
     )

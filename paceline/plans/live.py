@@ -55,14 +55,13 @@ def comparisons(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
     Only that second can meet an average, so the other four are dropped before the shuffle and never
     reach the join state. Joining on the window keeps its watermark, which lets the state go.
     """
-    timed = speed.withWatermark("time", delay)
-    last = timed.select(
+    second = speed.withWatermark("time", delay).select(
         "runner_id", "time", "speed", F.window("time", WINDOW).alias("window")
-    ).filter(F.col("time") == topic_time())
-    averages = average_speeds(speed, delay)
-    return last.join(averages, ["runner_id", "window"]).select(
-        "runner_id", "time", speed_status(F.col("speed"), F.col("avg_speed")).alias("comparison")
     )
+    last = second.filter(F.col("time") == topic_time()).select("runner_id", "window", "speed")
+    joined = last.join(average_speeds(speed, delay), ["runner_id", "window"])
+    status = speed_status(F.col("speed"), F.col("avg_speed"))
+    return joined.select("runner_id", topic_time().alias("time"), status.alias("comparison"))
 
 
 def altitudes(telemetry: DataFrame) -> DataFrame:

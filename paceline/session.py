@@ -54,11 +54,3 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_root(spark)}/paceline/{name}-{uuid.uuid4().hex}"
-
-
-def checkpointed(df):
-    """``df`` computed once and kept in the shared folder, so lost executors do not matter."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
