@@ -17,9 +17,9 @@ from paceline.functions.parsing import (
 )
 from paceline.functions.telemetry import encode, from_messages, to_messages, to_topic
 from paceline.operators.clean import (
-    LENGTH,
     distance_limited,
     is_time_limited,
+    length,
     normalise_names,
     time_limited,
     with_content_id,
@@ -54,8 +54,8 @@ def _counted(df: DataFrame, *columns) -> DataFrame:
 
 def split_by_type(spark: Spark, sf: str) -> DataFrame:
     kind = (
-        F.when(is_time_limited(LENGTH), "time")
-        .when(~is_time_limited(LENGTH), "distance")
+        F.when(is_time_limited(length()), "time")
+        .when(~is_time_limited(length()), "distance")
         .otherwise("neither")
     )
     return _counted(fixtures.race_results_raw(spark, sf), kind.alias("kind"))
@@ -75,14 +75,14 @@ def age_band(spark: Spark, sf: str) -> DataFrame:
 
 
 def distance_band(spark: Spark, sf: str) -> DataFrame:
-    lengths = fixtures.race_results_raw(spark, sf).select(kilometres(LENGTH).alias("distance_km"))
+    lengths = fixtures.race_results_raw(spark, sf).select(kilometres(length()).alias("distance_km"))
     label = band(F.col("distance_km"), DISTANCE_BANDS)
     return _counted(lengths, "distance_km", label.alias("distance_group_km"))
 
 
 def distance_km(spark: Spark, sf: str) -> DataFrame:
     return _counted(
-        fixtures.race_results_raw(spark, sf), LENGTH.alias("length"), kilometres(LENGTH).alias("km")
+        fixtures.race_results_raw(spark, sf), length().alias("length"), kilometres(length()).alias("km")
     )
 
 
@@ -94,8 +94,8 @@ def duration_seconds(spark: Spark, sf: str) -> DataFrame:
 
 
 def time_limit_hours(spark: Spark, sf: str) -> DataFrame:
-    limits = fixtures.race_results_raw(spark, sf).filter(is_time_limited(LENGTH))
-    return _counted(limits, LENGTH.alias("length"), limit_hours(LENGTH).alias("hours"))
+    limits = fixtures.race_results_raw(spark, sf).filter(is_time_limited(length()))
+    return _counted(limits, length().alias("length"), limit_hours(length()).alias("hours"))
 
 
 def speed_kmph(spark: Spark, sf: str) -> DataFrame:

@@ -13,7 +13,9 @@ from paceline.functions.parsing import (
     whole_number,
 )
 
-LENGTH = F.col("`event_distance/length`")
+def length() -> Column:
+    """The text that says how long an event is."""
+    return F.col("`event_distance/length`")
 
 
 def normalise_names(df: DataFrame) -> DataFrame:
@@ -21,9 +23,9 @@ def normalise_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.replace(" ", "_").lower() for name in df.columns])
 
 
-def is_time_limited(length: Column) -> Column:
+def is_time_limited(text: Column) -> Column:
     """True for events measured in days or hours; null, and so in neither table, without a length."""
-    return length.contains("d") | length.contains("h")
+    return text.contains("d") | text.contains("h")
 
 
 def with_age(raw: DataFrame) -> DataFrame:
@@ -44,7 +46,7 @@ def with_age(raw: DataFrame) -> DataFrame:
 def time_limited(raw: DataFrame) -> DataFrame:
     """Results of events with a time limit: the distance is the performance."""
     typed = (
-        with_age(raw.filter(is_time_limited(LENGTH)))
+        with_age(raw.filter(is_time_limited(length())))
         .withColumnsRenamed(
             {"event_distance/length": "time_limit", "athlete_performance": "distance_crossed"}
         )
@@ -64,7 +66,7 @@ def time_limited(raw: DataFrame) -> DataFrame:
 def distance_limited(raw: DataFrame) -> DataFrame:
     """Results of events over a fixed distance: the time is the performance."""
     typed = (
-        with_age(raw.filter(~is_time_limited(LENGTH)))
+        with_age(raw.filter(~is_time_limited(length())))
         .withColumnsRenamed(
             {"event_distance/length": "distance", "athlete_performance": "time_spent"}
         )

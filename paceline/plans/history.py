@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.operators.aggregates import recency_weighted_mean
+from paceline.operators.aggregates import SPEED_DECIMAL, recency_weighted_mean
 
 
 def weighted_history(distance: DataFrame, length_km: float, now: int) -> DataFrame:
@@ -15,4 +15,7 @@ def weighted_history(distance: DataFrame, length_km: float, now: int) -> DataFra
     means = recency_weighted_mean(
         races, ["runner_id"], "year_of_event", "athlete_average_speed_kmph", now, "average_speed"
     )
-    return means.withColumn("average_speed", F.round("average_speed", 4))
+    # Means of a few races often end in exactly half a unit of the fourth decimal. As a decimal such
+    # a mean is exact and rounds up; as a double it would go by its last bit.
+    rounded = F.round(F.col("average_speed").try_cast(SPEED_DECIMAL), 4).cast("double")
+    return means.withColumn("average_speed", rounded)

@@ -26,7 +26,7 @@ from paceline.operators.ranking import (
     repeat_rows,
     top_dense_rank,
 )
-from paceline.plans.questions import BAND, SPEED, TOP, by_band, long_enough
+from paceline.plans.questions import BAND, TOP, by_band, long_enough, speed
 from paceline.session import shared_path
 from paceline.sources.files import read_table, write_table
 
@@ -62,13 +62,13 @@ def _careers(runs: DataFrame) -> DataFrame:
     Extremes of the first day are by ``1 / speed``, which is what the improvement is linear in.
     Results without a speed sort behind all others of their day: they set the day, not the speed.
     """
-    day, usable = F.col("event_dates"), F.nullif(SPEED, F.lit(0.0))
+    day, usable = F.col("event_dates"), F.nullif(speed(), F.lit(0.0))
 
     def earliest(order: Column) -> Column:
-        return F.min(F.struct(day, F.coalesce(order, F.lit(INFINITE)).alias("o"), SPEED.alias("s")))
+        return F.min(F.struct(day, F.coalesce(order, F.lit(INFINITE)).alias("o"), speed().alias("s")))
 
     def latest(order: Column) -> Column:
-        return F.max(F.struct(day, F.coalesce(order, F.lit(-INFINITE)).alias("o"), SPEED.alias("s")))
+        return F.max(F.struct(day, F.coalesce(order, F.lit(-INFINITE)).alias("o"), speed().alias("s")))
 
     ends = runs.groupBy(*WHO).agg(
         earliest(-1 / usable).alias("f1"),
@@ -106,15 +106,15 @@ def _speeds_of_ends(runs: DataFrame, careers: DataFrame) -> DataFrame:
         ),
     ).select(*WHO, F.col("_end.day").alias("event_dates"), "_end.is_first", "_f1", "_f2", "_l1", "_l2")
     speeds = (
-        join_same(runs.filter(SPEED != 0), ends, [*WHO, "event_dates"])
-        .groupBy(*WHO, "is_first", "_f1", "_f2", "_l1", "_l2", SPEED.alias("speed"))
+        join_same(runs.filter(speed() != 0), ends, [*WHO, "event_dates"])
+        .groupBy(*WHO, "is_first", "_f1", "_f2", "_l1", "_l2", speed().alias("speed"))
         .agg(F.count("*").alias("copies"))
     )
-    speed = F.col("speed")
+    its = F.col("speed")
     return speeds.withColumn(
         "_best",
-        F.when(F.col("is_first"), _best([speed], [F.col("_l1"), F.col("_l2")])).otherwise(
-            _best([F.col("_f1"), F.col("_f2")], [speed])
+        F.when(F.col("is_first"), _best([its], [F.col("_l1"), F.col("_l2")])).otherwise(
+            _best([F.col("_f1"), F.col("_f2")], [its])
         ),
     ).select(*WHO, "is_first", "speed", "copies", "_best")
 

@@ -15,7 +15,10 @@ from paceline.operators.running import running_total
 WINDOW = "5 seconds"
 SPEED_DELAY = "1 second"
 CLIMB_DELAY = "5 seconds"
-STEP = F.expr("interval 1 second")
+
+
+def second() -> Column:
+    return F.expr("interval 1 second")
 
 
 def speeds(telemetry: DataFrame) -> DataFrame:
@@ -41,7 +44,7 @@ def average_speeds(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
 
 def topic_time() -> Column:
     """Time of a window on its topic: its last second, as the end is not part of it."""
-    return F.col("window.end") - STEP
+    return F.col("window.end") - second()
 
 
 def table_time() -> Column:
@@ -55,10 +58,10 @@ def comparisons(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
     Only that second can meet an average, so the other four are dropped before the shuffle and never
     reach the join state. Joining on the window keeps its watermark, which lets the state go.
     """
-    second = speed.withWatermark("time", delay).select(
+    timed = speed.withWatermark("time", delay).select(
         "runner_id", "time", "speed", F.window("time", WINDOW).alias("window")
     )
-    last = second.filter(F.col("time") == topic_time()).select("runner_id", "window", "speed")
+    last = timed.filter(F.col("time") == topic_time()).select("runner_id", "window", "speed")
     joined = last.join(average_speeds(speed, delay), ["runner_id", "window"])
     status = speed_status(F.col("speed"), F.col("avg_speed"))
     return joined.select("runner_id", topic_time().alias("time"), status.alias("comparison"))
@@ -78,7 +81,7 @@ def _climb_pairs(telemetry: DataFrame) -> DataFrame:
     now = altitudes(telemetry).groupBy(*keys, "altitude").agg(F.count("*").alias("_n"))
     before = now.select(
         "runner_id",
-        (F.col("time") + STEP).alias("time"),
+        (F.col("time") + second()).alias("time"),
         F.col("altitude").alias("_previous"),
         F.col("_n").alias("_m"),
     )
@@ -103,7 +106,7 @@ def altitude_gains_live(telemetry: DataFrame, delay: str = CLIMB_DELAY) -> DataF
     before = (
         altitudes(telemetry)
         .select(
-            "runner_id", (F.col("time") + STEP).alias("time"), F.col("altitude").alias("_previous")
+            "runner_id", (F.col("time") + second()).alias("time"), F.col("altitude").alias("_previous")
         )
         .withWatermark("time", delay)
     )

@@ -20,12 +20,15 @@ from paceline.operators.aggregates import exact_avg, exact_sum
 from paceline.operators.ranking import top_dense_rank
 
 BAND = "distance_group_km"
-SPEED = F.col("athlete_average_speed_kmph")
 MEAN_SPEED = "avg_athlete_speed_kmph"
 TOP = 10
 MIN_FINISHERS = 10
 
 
+def speed() -> Column:
+    return F.col("athlete_average_speed_kmph")
+
+
 def long_enough() -> Column:
     """Has a distance band other than the first."""
     return beyond_first_band(F.col("distance_km"), DISTANCE_BANDS)
@@ -33,7 +36,7 @@ def long_enough() -> Column:
 
 def moved() -> Column:
     """Has a speed, and not zero."""
-    return SPEED != 0
+    return speed() != 0
 
 
 def known_age() -> Column:
@@ -50,7 +53,7 @@ def fastest_events(distance: DataFrame) -> DataFrame:
     events = (
         distance.filter(long_enough() & moved())
         .groupBy("year_of_event", "event_name", BAND, "distance_km")
-        .agg(F.count("*").alias("athlete_num"), exact_avg(SPEED).alias(MEAN_SPEED))
+        .agg(F.count("*").alias("athlete_num"), exact_avg(speed()).alias(MEAN_SPEED))
         .filter(F.col("athlete_num") > MIN_FINISHERS)
     )
     top = top_dense_rank(events, BAND, MEAN_SPEED, "rank", TOP, DISTANCE_LABELS)
@@ -66,9 +69,9 @@ def athletes_per_band(distance: DataFrame) -> DataFrame:
 def speed_by_band_and_age(distance: DataFrame) -> DataFrame:
     """Count and mean speed per band and age group, of results with a positive speed."""
     means = (
-        distance.filter(long_enough() & known_age() & (SPEED > 0))
+        distance.filter(long_enough() & known_age() & (speed() > 0))
         .groupBy(BAND, "age_group")
-        .agg(F.count("*").alias("athlete_num"), exact_avg(SPEED).alias(MEAN_SPEED))
+        .agg(F.count("*").alias("athlete_num"), exact_avg(speed()).alias(MEAN_SPEED))
     )
     return means.orderBy(by_band(), by_band("age_group"))
 
@@ -89,7 +92,7 @@ def fastest_countries(distance: DataFrame) -> DataFrame:
     countries = (
         distance.filter(long_enough() & moved())
         .groupBy(BAND, "athlete_country")
-        .agg(exact_avg(SPEED).alias(MEAN_SPEED))
+        .agg(exact_avg(speed()).alias(MEAN_SPEED))
     )
     top = top_dense_rank(countries, BAND, MEAN_SPEED, "rank", TOP, DISTANCE_LABELS)
     return top.orderBy(by_band(), "rank")
@@ -128,6 +131,6 @@ def speed_by_gender(distance: DataFrame) -> DataFrame:
     means = (
         distance.filter(long_enough() & moved() & F.col("athlete_gender").isin("F", "M"))
         .groupBy(BAND, "athlete_gender")
-        .agg(exact_avg(SPEED).alias(MEAN_SPEED))
+        .agg(exact_avg(speed()).alias(MEAN_SPEED))
     )
     return means.orderBy(by_band(), "athlete_gender")

@@ -21,8 +21,20 @@ RAW_HEADERS = [
 RAW_FILE = T.StructType([T.StructField(h, T.StringType()) for h in RAW_HEADERS])
 
 
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from ``name type, ...``; unlike Spark's own, it needs no running session."""
+    fields = [field.split() for field in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 TIME_LIMITED = _struct(
