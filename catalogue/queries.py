@@ -23,7 +23,6 @@ from paceline.operators.clean import (
     normalise_names,
     time_limited,
     with_content_id,
-    with_row_id,
 )
 from paceline.plans import history, improvement, live, questions
 from paceline.schemas import LIVE_TABLES, RAW_HEADERS, TELEMETRY_FIELDS
@@ -115,7 +114,7 @@ def content_id(spark: Spark, sf: str) -> DataFrame:
 
 def row_id(spark: Spark, sf: str) -> DataFrame:
     """Number of rows and of distinct ids, which are equal."""
-    ids = with_row_id(fixtures.distance_results(spark, sf)).groupBy("id").agg(F.count("*").alias("n"))
+    ids = fixtures.distance_results(spark, sf).groupBy("id").agg(F.count("*").alias("n"))
     return ids.agg(F.sum("n").alias("num_rows"), F.count("*").alias("num_ids"))
 
 
@@ -268,7 +267,10 @@ def stream_finish_estimate(spark: Spark, sf: str) -> DataFrame:
     path = shared_path(spark, "history")
     files.write_table(_history(spark, sf), path)
     estimates = live.finish_estimates(
-        fixtures.stream_telemetry(session, sf), files.read_table(session, path), fixtures.RACE_KM
+        fixtures.stream_telemetry(session, sf),
+        files.read_table(session, path),
+        fixtures.RACE_KM,
+        salts=8,
     )
     return jobs.drain_to_table(spark, estimates, "finish_estimation")
 

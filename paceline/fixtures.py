@@ -3,9 +3,10 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.operators.clean import distance_limited, time_limited
+from paceline.operators.clean import conform, distance_limited, time_limited, with_row_id
+from paceline.schemas import DISTANCE_LIMITED, TIME_LIMITED
 from paceline.session import shared_path
-from paceline.sources.files import write_table
+from paceline.sources.files import read_table, write_table
 
 REFERENCE_YEAR = 2001
 RACE_KM = 21
@@ -101,7 +102,7 @@ def race_results_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, clean) -> DataFrame:
+def _stored(spark: SparkSession, sf_dir: str, name: str, clean, schema) -> DataFrame:
     """A cleaned table, written to the shared folder by the first query that needs it.
 
     The questions are asked of stored tables, as cleaning is done once: they then read only their
@@ -110,17 +111,19 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, clean) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = shared_path(spark, name)
-        write_table(clean(race_results_raw(spark, sf_dir)), path)
+        write_table(conform(with_row_id(clean(race_results_raw(spark, sf_dir))), schema), path)
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+    return read_table(spark, _STORED[key], schema)
 
 
 def time_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "running_time_constrained", time_limited)
+    return _stored(spark, sf_dir, "running_time_constrained", time_limited, TIME_LIMITED)
 
 
 def distance_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "running_distance_constrained", distance_limited)
+    return _stored(
+        spark, sf_dir, "running_distance_constrained", distance_limited, DISTANCE_LIMITED
+    )
 
 
 def run_stats(events: DataFrame) -> DataFrame:

@@ -3,12 +3,14 @@
 The obvious plan joins the table to itself twice and pairs every result of an athlete's first day
 with every result of the last one. Here only pairs that can reach the top ranks are formed:
 
-1. One aggregation finds, per athlete and band, the first and last day and the extreme speeds on
-   them. The improvement ``(last - first) / first * 100`` is monotone in ``last``, and in ``first``
-   on each side of zero, so the best pair is one of four, all of them real pairs.
+1. One aggregation finds, per athlete and band, the first and last day, the lowest speed on the
+   first and the highest on the last. With no speed below zero that pair is the athlete's best.
 2. The tenth best distinct value of a band, over these, is a floor for its top ten. Athletes whose
    best is below it are out; the others are few, and their days are read again.
-3. The same is done with the single speeds of those days, and only then are speeds paired.
+3. The same is done with the single speeds of those days, and only then are speeds paired. Speeds
+   below zero, which no runner has but nothing in the data rules out, are bounded here: the
+   improvement ``(last - first) / first * 100`` is linear in ``last`` and in ``1 / first``, so its
+   greatest value is at an extreme of each.
 
 Both floors are values of real pairs, so at least ten distinct values reach them and nothing below
 can be in the top ten: the result is exact. Copies of a result are counted, not paired, and are
@@ -40,9 +42,9 @@ def improvement(first: Column, last: Column) -> Column:
 
 
 def _not_below(value: str, floor: str) -> Column:
-    """At or above the floor, if there is one. The slack covers rounding; ranks are exact later."""
+    """At or above the floor, or one of them unknown. The slack covers rounding; ranks are exact later."""
     slack = (F.abs(F.col(floor)) + 100) * 1e-9
-    return F.col(floor).isNull() | (F.col(value) >= F.col(floor) - slack)
+    return F.coalesce(F.col(value) >= F.col(floor) - slack, F.lit(True))
 
 
 def _reaching_floor(df: DataFrame, value: str, k: int) -> DataFrame:
@@ -52,71 +54,69 @@ def _reaching_floor(df: DataFrame, value: str, k: int) -> DataFrame:
     return floors.filter(_not_below(value, "_floor")).drop("_floor")
 
 
-def _best(firsts: list[Column], lasts: list[Column]) -> Column:
-    return F.greatest(*[improvement(f, l) for f in firsts for l in lasts])
-
-
 def _careers(runs: DataFrame) -> DataFrame:
-    """First and last day per athlete and band, and the extreme non-zero speeds on each.
+    """First and last day per athlete and band, and the best improvement between them.
 
-    Extremes of the first day are by ``1 / speed``, which is what the improvement is linear in.
-    Results without a speed sort behind all others of their day: they set the day, not the speed.
+    The best is null, which means unknown, for a career with a speed below zero. A result without a
+    speed still sets the day; it sorts behind all others of its day.
     """
     day, usable = F.col("event_dates"), F.nullif(speed(), F.lit(0.0))
-
-    def earliest(order: Column) -> Column:
-        return F.min(F.struct(day, F.coalesce(order, F.lit(INFINITE)).alias("o"), speed().alias("s")))
-
-    def latest(order: Column) -> Column:
-        return F.max(F.struct(day, F.coalesce(order, F.lit(-INFINITE)).alias("o"), speed().alias("s")))
-
     ends = runs.groupBy(*WHO).agg(
-        earliest(-1 / usable).alias("f1"),
-        earliest(1 / usable).alias("f2"),
-        latest(usable).alias("l1"),
-        latest(-usable).alias("l2"),
+        F.min(F.struct(day, F.coalesce(usable, F.lit(INFINITE)).alias("s"))).alias("f"),
+        F.max(F.struct(day, F.coalesce(usable, F.lit(-INFINITE)).alias("s"))).alias("l"),
+        F.min(usable).alias("slowest"),
     )
-    speeds = [F.col(f"{end}.s").alias(f"_{end}") for end in ("f1", "f2", "l1", "l2")]
-    return (
-        ends.select(
-            *WHO, F.col("f1.event_dates").alias("_first"), F.col("l1.event_dates").alias("_last"), *speeds
-        )
-        .filter((F.col("_f1") != 0) & (F.col("_l1") != 0))
-        .withColumn(
-            "_best", _best([F.col("_f1"), F.col("_f2")], [F.col("_l1"), F.col("_l2")])
-        )
+    both_days = (F.col("f.s") != INFINITE) & (F.col("l.s") != -INFINITE)
+    best = F.when(F.col("slowest") > 0, improvement(F.col("f.s"), F.col("l.s")))
+    return ends.filter(both_days).select(
+        *WHO,
+        F.col("f.event_dates").alias("_first"),
+        F.col("l.event_dates").alias("_last"),
+        best.alias("_best"),
     )
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     write_table(df, path)
-    return read_table(df.sparkSession, path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
 def _speeds_of_ends(runs: DataFrame, careers: DataFrame) -> DataFrame:
     """Distinct speeds of the first and last day of the given careers, with the number of copies."""
-    ends = careers.withColumn(
-        "_end",
+    ends = careers.select(
+        *WHO,
         F.explode(
             F.array(
-                F.struct(F.col("_first").alias("day"), F.lit(True).alias("is_first")),
-                F.struct(F.col("_last").alias("day"), F.lit(False).alias("is_first")),
+                F.struct(F.col("_first").alias("event_dates"), F.lit(True).alias("is_first")),
+                F.struct(F.col("_last").alias("event_dates"), F.lit(False).alias("is_first")),
             )
-        ),
-    ).select(*WHO, F.col("_end.day").alias("event_dates"), "_end.is_first", "_f1", "_f2", "_l1", "_l2")
-    speeds = (
+        ).alias("_end"),
+    ).select(*WHO, "_end.*")
+    return (
         join_same(runs.filter(speed() != 0), ends, [*WHO, "event_dates"])
-        .groupBy(*WHO, "is_first", "_f1", "_f2", "_l1", "_l2", speed().alias("speed"))
+        .groupBy(*WHO, "is_first", speed().alias("speed"))
         .agg(F.count("*").alias("copies"))
     )
+
+
+def _with_best(speeds: DataFrame) -> DataFrame:
+    """Each speed with the best improvement it can be part of, which is that of a real pair."""
+    first, last = F.when(F.col("is_first"), F.col("speed")), F.when(~F.col("is_first"), F.col("speed"))
+    extremes = speeds.groupBy(*WHO).agg(
+        F.min_by(first, 1 / first).alias("_f1"),
+        F.max_by(first, 1 / first).alias("_f2"),
+        F.min(last).alias("_l1"),
+        F.max(last).alias("_l2"),
+    )
     its = F.col("speed")
-    return speeds.withColumn(
-        "_best",
-        F.when(F.col("is_first"), _best([its], [F.col("_l1"), F.col("_l2")])).otherwise(
-            _best([F.col("_f1"), F.col("_f2")], [its])
-        ),
-    ).select(*WHO, "is_first", "speed", "copies", "_best")
+    as_first = F.greatest(improvement(its, F.col("_l1")), improvement(its, F.col("_l2")))
+    as_last = F.greatest(improvement(F.col("_f1"), its), improvement(F.col("_f2"), its))
+    return (
+        join_same(speeds, extremes, WHO)
+        .withColumn("_best", F.when(F.col("is_first"), as_first).otherwise(as_last))
+        .drop("_f1", "_f2", "_l1", "_l2")
+    )
 
 
 def most_improved(distance: DataFrame, k: int = TOP) -> DataFrame:
@@ -131,7 +131,7 @@ def most_improved(distance: DataFrame, k: int = TOP) -> DataFrame:
     ).select(*WHO, "event_dates", "athlete_average_speed_kmph")
     careers = _stored(_reaching_floor(_careers(runs), "_best", k), "careers")
     speeds = _stored(_speeds_of_ends(runs, careers), "career_speeds")
-    speeds = _reaching_floor(speeds, "_best", k)
+    speeds = _reaching_floor(_with_best(speeds), "_best", k)
     firsts = speeds.filter("is_first").select(
         *WHO, F.col("speed").alias("avg_speed_first_marathon"), F.col("copies").alias("_n1")
     )

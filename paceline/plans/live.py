@@ -161,13 +161,22 @@ def latest_per_runner(table: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def finish_estimates(telemetry: DataFrame, history: DataFrame, length_km: int) -> DataFrame:
+def finish_estimates(
+    telemetry: DataFrame, history: DataFrame, length_km: int, salts: int = 1
+) -> DataFrame:
     """Minutes to the finish at each row, null for runners without history.
 
     ``history`` is one row per runner; Spark broadcasts it if it is below its own size threshold.
+    Beyond that a batch join splits a busy runner by itself. A stream cannot, so it should ask for
+    salts: every runner's history is then there that many times, and its rows spread over them.
     """
+    left, right, keys = telemetry, history, ["runner_id"]
+    if salts > 1:
+        left = left.withColumn("_salt", F.pmod(F.hash("time"), F.lit(salts)))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys = ["runner_id", "_salt"]
     distance = F.round("distance", 4)
-    return telemetry.join(history, "runner_id", "left").select(
+    return left.join(right, keys, "left").select(
         "runner_id",
         "time",
         minutes_left(distance, F.col("average_speed"), length_km).alias("estimated_min"),

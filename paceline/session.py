@@ -16,6 +16,10 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # State on local disk, so it may outgrow memory; each batch ships its changes, not all files; and
+    # a join keeps its four tables in one store per partition instead of four.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
 
