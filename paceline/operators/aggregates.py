@@ -8,8 +8,10 @@ with its first result. Sums of decimals are exact, so they always agree.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Integer digits 9, fraction digits 9: a speed of up to a billion km/h.
-SPEED_DECIMAL = "decimal(18,9)"
+# Nine fraction digits. The wide form leaves a sum 29 digits before the point; the narrow one also
+# leaves room for a product with a year.
+SPEED_DECIMAL = "decimal(28,9)"
+NARROW_SPEED_DECIMAL = "decimal(18,9)"
 # Kilometres and metres are rounded to four decimals when they are read.
 LENGTH_DECIMAL = "decimal(18,4)"
 
@@ -41,14 +43,20 @@ def recency_weighted_mean(
     rows one key has. For years up to ``now``; ``now`` itself no longer matters then.
     A missing value adds nothing above the line but keeps its weight below, a missing year neither.
     """
-    fixed = F.col(value).try_cast(SPEED_DECIMAL)
+    fixed = F.col(value).try_cast(NARROW_SPEED_DECIMAL)
+    by_year = F.col(value) * F.col(year)
+    all_fit = F.count(fixed) == F.count(value)
     sums = df.filter(F.col(year) <= now).groupBy(*keys).agg(
         (F.min(year) - 1).alias("_before"),
-        F.sum(fixed).alias("_values"),
-        F.sum(fixed * F.col(year)).alias("_values_by_year"),
+        F.when(all_fit, F.sum(fixed)).alias("_values"),
+        F.when(all_fit, F.sum(fixed * F.col(year))).alias("_values_by_year"),
+        F.sum(value).alias("_plain"),
+        F.sum(by_year).alias("_plain_by_year"),
         F.count("*").alias("_rows"),
         F.sum(F.col(year).cast("bigint")).alias("_years"),
     )
-    top = F.col("_values_by_year") - F.col("_before") * F.col("_values")
+    exact = F.col("_values_by_year") - F.col("_before") * F.col("_values")
+    plain = F.col("_plain_by_year") - F.col("_before") * F.col("_plain")
     bottom = F.col("_years") - F.col("_before") * F.col("_rows")
-    return sums.select(*keys, F.try_divide(top.cast("double"), bottom).alias(out))
+    mean = F.try_divide(F.coalesce(exact.cast("double"), plain), bottom)
+    return sums.select(*keys, mean.alias(out))

@@ -17,5 +17,6 @@ def weighted_history(distance: DataFrame, length_km: float, now: int) -> DataFra
     )
     # Means of a few races often end in exactly half a unit of the fourth decimal. As a decimal such
     # a mean is exact and rounds up; as a double it would go by its last bit.
-    rounded = F.round(F.col("average_speed").try_cast(SPEED_DECIMAL), 4).cast("double")
-    return means.withColumn("average_speed", rounded)
+    mean = F.col("average_speed")
+    rounded = F.round(mean.try_cast(SPEED_DECIMAL), 4).cast("double")
+    return means.withColumn("average_speed", F.coalesce(rounded, F.round(mean, 4)))

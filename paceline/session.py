@@ -40,6 +40,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Folders of local sessions that name none; the setting itself cannot be changed once Spark runs.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -50,9 +54,9 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="paceline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _LOCAL_ROOTS.setdefault(
+        spark.sparkContext.applicationId, f"{tempfile.gettempdir()}/paceline-{uuid.uuid4().hex}"
+    )
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -65,8 +65,10 @@ def test_exact_means_do_not_depend_on_order(spark):
 
 
 def test_exact_means_fall_back_for_values_out_of_range(spark):
-    frame = spark.createDataFrame([(1e15,), (3e15,), (None,)], "v double")
-    assert tuple(frame.agg(exact_avg(F.col("v")), exact_sum(F.col("v"))).first()) == (2e15, 4e15)
+    frame = spark.createDataFrame([(1e25,), (3e25,), (None,)], "v double")
+    assert tuple(frame.agg(exact_avg(F.col("v")), exact_sum(F.col("v"))).first()) == (2e25, 4e25)
+    within = frame.agg(exact_avg(F.col("v") / 1e10)).first()
+    assert tuple(within) == (2e15,)
     empty = frame.filter("v < 0").agg(exact_avg(F.col("v")), exact_sum(F.col("v"))).first()
     assert tuple(empty) == (None, None)
 
@@ -79,6 +81,11 @@ def test_recency_weighted_mean_of_the_worked_example(spark):
     assert means[2] == 7.0
 
 
+def test_recency_weighted_mean_keeps_values_out_of_range(spark):
+    frame = spark.createDataFrame([(1, 2000, 1e12), (1, 2001, 4e12)], "k int, y int, v double")
+    assert recency_weighted_mean(frame, ["k"], "y", "v", 2001, "m").first().m == pytest.approx(3e12)
+
+
 def test_recency_weighted_mean_against_its_definition(spark):
     random.seed(3)
     rows = [(0, random.randint(1990, 2001), random.randint(1, 20_000) / 1000) for _ in range(2000)]

@@ -190,6 +190,20 @@ def test_jdbc_options():
     }
 
 
+class Unconfigured:
+    """A session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "a"})
+
+
+def test_only_a_local_session_may_name_no_shared_folder():
+    assert shared_root(Unconfigured("local[2]")) == shared_root(Unconfigured("local[2]"))
+    with pytest.raises(ValueError):
+        shared_root(Unconfigured("spark://host:7077"))
+
+
 def test_shared_root_is_the_configured_folder(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert shared_path(spark, "x") != shared_path(spark, "x")
