@@ -4,10 +4,11 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__
+from catalogue import ORACLE as SQL
+from catalogue import QUERIES as NAMES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
+QUERIES = {name: query for name, query in __spark_entry__.queries().items() if name in NAMES}
 
 
 @pytest.fixture(scope="module")
