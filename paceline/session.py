@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -30,14 +31,24 @@ def build_session(app: str = "paceline", master: str | None = None, **extra: str
         builder = builder.master(master)
     for key, value in {**SQL_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return findable(builder.getOrCreate())
+
+
+def findable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did; executors on other machines need
+    it by ``--py-files`` or an installation."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
+    return spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session somebody else built."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
-    return spark
+    return findable(spark)
 
 
 # Folders of local sessions that name none; the setting itself cannot be changed once Spark runs.
