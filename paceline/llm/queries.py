@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.llm import chat, licenses, mixing, pii, url_filters
+from paceline.llm import bpe, chat, grid_join, licenses, mixing, near_dup, pii, top_k, url_filters
 from paceline.llm.tables import fixed_rows
 
 Spark = SparkSession
@@ -20,6 +21,16 @@ def op1_source_mix(spark: Spark, sf: str) -> DataFrame:
     return mixing.words_taken(placed, pieces).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_top_k(spark: Spark, sf: str) -> DataFrame:
+    table = _read(spark, sf, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
+    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    # Beyond 2 ** 53 a double is a whole number as it is.
+    whole = F.transform("v", lambda x: F.when(F.abs(x * 256) < 2.0**53, F.floor(x * 256).cast("double")).otherwise(x * 256))
+    rows = table.filter(F.col("v").isNotNull() & ~bad).select(F.col("vec_id").cast("long").alias("id"), top_k.postings(whole).alias("postings"))
+    best = top_k.top_k(rows.filter("id % 50 = 0"), rows, 5)
+    return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 # A conversation whose texts are control strings.
 HOSTILE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -45,6 +56,12 @@ def op5_license_scan(spark: Spark, sf: str) -> DataFrame:
     )
 
 
+def op6_near_duplicates(spark: Spark, sf: str) -> DataFrame:
+    found = near_dup.near_duplicates(_read(spark, sf, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
 # Host, path, action.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -60,15 +77,37 @@ def op7_url_filter(spark: Spark, sf: str) -> DataFrame:
     return url_filters.judge(_read(spark, sf, "pages"), rules, keep=("page_id",))
 
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def op8_bpe(spark: Spark, sf: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    encoded = bpe.encode(_read(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded, ranks)
+    return decoded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_pii(spark: Spark, sf: str) -> DataFrame:
     return pii.pseudonymise(_read(spark, sf, "documents").select("doc_id", "text"), found="n_replaced")
 
 
+def op10_grid_join(spark: Spark, sf: str) -> DataFrame:
+    found = grid_join.near_vectors(_read(spark, sf, "embeddings"), 0.93)
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_top_k": op2_top_k,
     "op3_chat_format": op3_chat_format,
     "op5_license_scan": op5_license_scan,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filter": op7_url_filter,
+    "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
+    "op10_grid_join": op10_grid_join,
 }
 ORACLE: dict[str, str] = {}
