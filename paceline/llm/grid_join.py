@@ -213,8 +213,9 @@ def near_vectors(
     pairs = interval_pairs(leaves.select("group", "size", "leaf", "lo", "hi"), leaves.count(), eps)
     data = leaves.select("leaf", "group", "size", "ids", "copies", "vectors")
     left = pairs.join(data, F.col("a") == F.col("leaf"))
-    right = pairs.join(data, F.col("b") == F.col("leaf"))
-    found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(_compare(threshold), "id long, links long, to long")
+    again = pairs.select(F.col("a").alias("ra"), F.col("b").alias("rb"))
+    right = again.join(data.select(*[F.col(c).alias(c) for c in data.columns]), F.col("rb") == F.col("leaf"))
+    found = left.groupBy("a", "b").cogroup(right.groupBy("ra", "rb")).applyInArrow(_compare(threshold), "id long, links long, to long")
     found = stored(found, "found")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
