@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, grid_join, licenses, mixing, near_dup, pii, top_k, url_filters
+from paceline.llm import bpe, chat, grid_join, licenses, mixing, near_dup, pii, quality, top_k, url_filters
 from paceline.llm.tables import fixed_rows
 
 Spark = SparkSession
@@ -48,6 +48,14 @@ def op3_chat_format(spark: Spark, sf: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: Spark, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    model = quality.learn(docs, _read(spark, sf, "labels").select("doc_id", "quality"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_license_scan(spark: Spark, sf: str) -> DataFrame:
     found = licenses.scan(_read(spark, sf, "documents"))
     return found.select(
@@ -103,6 +111,7 @@ QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_top_k": op2_top_k,
     "op3_chat_format": op3_chat_format,
+    "op4_quality": op4_quality,
     "op5_license_scan": op5_license_scan,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filter": op7_url_filter,
