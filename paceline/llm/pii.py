@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paceline.llm.tables import fresh
+
 ROUNDS = 6
 # What is looked for.
 KINDS = {
@@ -181,9 +183,10 @@ def pseudonymise(docs: DataFrame, key: str = "paceline", text: str = "text", fou
     new = F.transform(matches, lambda v: F.struct(v.alias("old"), pseudonym(v, key).alias("new")))
     has = whole.rlike(NEEDED) & whole.rlike(PATTERN)
     none = F.array().cast("array<struct<old:string,new:string>>")
-    named = docs.withColumn("_pairs", F.when(has, new).otherwise(none))
-    pieces = F.zip_with(F.split(whole, PATTERN, -1), F.col("_pairs"), lambda p, m: F.concat(p, F.coalesce(m["new"], F.lit(""))))
-    out = named.withColumn(text, F.when(F.size("_pairs") > 0, F.array_join(pieces, "")).otherwise(whole))
+    pairs = fresh(docs, "pairs")
+    named = docs.withColumn(pairs, F.when(has, new).otherwise(none))
+    pieces = F.zip_with(F.split(whole, PATTERN, -1), F.col(pairs), lambda p, m: F.concat(p, F.coalesce(m["new"], F.lit(""))))
+    out = named.withColumn(text, F.when(F.size(pairs) > 0, F.array_join(pieces, "")).otherwise(whole))
     if found:
-        out = out.withColumn(found, F.size(F.filter("_pairs", lambda p: p["old"] != p["new"])))
-    return out.drop("_pairs")
+        out = out.withColumn(found, F.size(F.filter(pairs, lambda p: p["old"] != p["new"])))
+    return out.drop(pairs)

@@ -168,8 +168,9 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     )
     chosen = [known.filter(F.col("_label") == c).orderBy(F.xxhash64("_id"), "_id").limit(sample) for c in (0, 1)]
     # At most 2 * sample short rows.
-    some = docs.join(F.broadcast(chosen[0].union(chosen[1])), F.col(id) == F.col("_id"))
-    whole = text_of(text)
+    texts = docs.select(F.col(id).alias("_doc"), text_of(text).alias("_text"))
+    some = texts.join(F.broadcast(chosen[0].union(chosen[1])), F.col("_doc") == F.col("_id"))
+    whole = F.col("_text")
     # Windows at hashed places, the whole of a short text once.
     many = F.when(F.length(whole) > CHUNK, WINDOWS).otherwise(1)
     place = F.pmod(F.xxhash64(F.col("_id"), F.col("_i")), F.greatest(F.length(whole) - CHUNK, F.lit(0)) + 1) + 1

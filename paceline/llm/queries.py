@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,5 +119,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_grid_join": op10_grid_join,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}

@@ -18,6 +18,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(column: Column | str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
