@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,7 +94,7 @@ def shingle_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
 
 def _batches(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about so many bytes of text, or one text."""
-    lengths = np.array(pa.compute.binary_length(batch.column("text"))) + 1
+    lengths = np.array(pc.binary_length(batch.column("text"))) + 1
     cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // most)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         if b > a:

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -198,7 +199,7 @@ def score(docs: DataFrame, model: Network | float, text: str = "text", name: str
         for batch in batches:
             column = batch.column(place).cast(pa.binary()).fill_null(b"")
             scores: list[np.ndarray] = []
-            lengths = np.array(pa.compute.binary_length(column)) + WIDTH
+            lengths = np.array(pc.binary_length(column)) + WIDTH
             cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // 4_000_000)) + 1
             for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
                 scores.append(score_texts(net, tables, column.slice(a, b - a).to_pylist()))
