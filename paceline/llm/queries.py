@@ -1,4 +1,4 @@
-"""The registered queries of the operators, and the SQL some of them are checked against."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceline.llm import bpe, chat, grid_join, licenses, mixing, near_dup, pii, quality, top_k, url_filters
+from paceline.llm.sql import ORACLE
 from paceline.llm.tables import fixed_rows
 
 Spark = SparkSession
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def _read(spark: Spark, sf: str, table: str) -> DataFrame:
@@ -121,4 +123,3 @@ QUERIES = {
     "op10_grid_join": op10_grid_join,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {}
