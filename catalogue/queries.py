@@ -29,7 +29,7 @@ from paceline.schemas import LIVE_TABLES, RAW_HEADERS, TELEMETRY_FIELDS
 from paceline.session import shared_path
 from paceline.sources import files
 from paceline.streaming import jobs
-from paceline.streaming.sinks import FileTarget, fan_out, to_files
+from paceline.streaming.sinks import CSV, FileTarget, fan_out, to_files
 
 Spark = SparkSession
 
@@ -214,9 +214,12 @@ def finish_estimate(spark: Spark, sf: str) -> DataFrame:
 
 # --- live measures as streams -----------------------------------------------------------------
 
+# Few runners and one batch: each partition of state is a task in every batch.
+STATE_PARTITIONS = 8
+
 
 def _stream(spark: Spark, sf: str) -> DataFrame:
-    return fixtures.stream_telemetry(jobs.stream_session(spark), sf)
+    return fixtures.stream_telemetry(jobs.stream_session(spark, STATE_PARTITIONS), sf)
 
 
 def stream_speed(spark: Spark, sf: str) -> DataFrame:
@@ -253,7 +256,7 @@ def stream_elevation_5s(spark: Spark, sf: str) -> DataFrame:
 
 def stream_total_climb(spark: Spark, sf: str) -> DataFrame:
     """Two chained streams: windows to a table, totals from the table."""
-    session = jobs.stream_session(spark)
+    session = jobs.stream_session(spark, STATE_PARTITIONS)
     windows = live.elevation_windows_live(fixtures.stream_telemetry(session, sf))
     path = shared_path(spark, "altitude_gain")
     jobs.drain(to_files(live.as_table(windows, "value"), f"{path}/table", f"{path}/checkpoint"))
@@ -263,7 +266,7 @@ def stream_total_climb(spark: Spark, sf: str) -> DataFrame:
 
 def stream_finish_estimate(spark: Spark, sf: str) -> DataFrame:
     """The history is stored first: the stream reads it again in every micro-batch."""
-    session = jobs.stream_session(spark)
+    session = jobs.stream_session(spark, STATE_PARTITIONS)
     path = shared_path(spark, "history")
     files.write_table(_history(spark, sf), path)
     estimates = live.finish_estimates(
@@ -290,7 +293,7 @@ def topic_archive(spark: Spark, sf: str) -> DataFrame:
         log,
     )
     root = shared_path(spark, "archive")
-    messages = files.stream_topics(jobs.stream_session(spark), log, ARCHIVED)
+    messages = files.stream_topics(jobs.stream_session(spark, STATE_PARTITIONS), log, ARCHIVED)
     jobs.drain(jobs.archive(messages, f"{root}/table", f"{root}/checkpoint"))
     return spark.read.parquet(f"{root}/table").select("topic", "key", "value")
 
@@ -304,7 +307,7 @@ def source_telemetry_files(spark: Spark, sf: str) -> DataFrame:
     parts = F.split("value", ",")
     fields = [F.get(parts, F.lit(i)).alias(f) for i, f in enumerate(TELEMETRY_FIELDS)]
     encode_telemetry(spark, sf).select(*fields).write.csv(path, sep=";", header=True)
-    messages = files.stream_telemetry_files(jobs.stream_session(spark), path)
+    messages = files.stream_telemetry_files(jobs.stream_session(spark, STATE_PARTITIONS), path)
     return jobs.drain_to_table(spark, from_messages(messages), "run_stats")
 
 
@@ -315,7 +318,7 @@ def sink_csv(spark: Spark, sf: str) -> DataFrame:
     root = shared_path(spark, "avg_speed_csv")
     messages = to_topic(rows, "avg_speed", F.col("avg_speed")).select("value")
     jobs.drain(to_files(messages, f"{root}/table", f"{root}/checkpoint", format="csv"))
-    return spark.read.schema("value string").csv(f"{root}/table")
+    return spark.read.schema("value string").options(**CSV).csv(f"{root}/table")
 
 
 def sink_reset(spark: Spark, sf: str) -> DataFrame:
@@ -333,7 +336,7 @@ def sink_reset(spark: Spark, sf: str) -> DataFrame:
 def sink_fanout(spark: Spark, sf: str) -> DataFrame:
     """One stream to a topic log, a typed table and CSV files, all three read back."""
     root = shared_path(spark, "fanout")
-    measured = live.paces(live.speeds(_stream(spark, sf))).filter(F.col("pace").isNotNull())
+    measured = live.paces(live.speeds(_stream(spark, sf)))
     stream = measured.withColumns(
         {
             "key": F.col("runner_id").cast("string"),
@@ -351,7 +354,7 @@ def sink_fanout(spark: Spark, sf: str) -> DataFrame:
         F.col("runner_id").cast("string").alias("key"),
         encode(F.col("time"), F.col("pace")).alias("value"),
     )
-    csv = spark.read.schema("value string, batch int").csv(f"{root}/csv")
+    csv = spark.read.schema("value string, batch int").options(**CSV).csv(f"{root}/csv")
     return (
         topic.withColumn("target", F.lit("topic"))
         .union(table.withColumn("target", F.lit("table")))

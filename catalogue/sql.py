@@ -397,5 +397,5 @@ ORACLE = {
     "sink_fanout": _with(RUN, PACES)
     + f"""SELECT target, CASE WHEN target = 'csv' THEN NULL ELSE CAST(runner_id AS VARCHAR) END AS key,
         {TEXT_TIME} || ',' || CAST(pace AS VARCHAR) AS value
-      FROM paces, (VALUES ('topic'), ('table'), ('csv')) AS t(target) WHERE pace IS NOT NULL""",
+      FROM paces, (VALUES ('topic'), ('table'), ('csv')) AS t(target)""",
 }

@@ -14,9 +14,6 @@ AGE_BANDS = [(17, 30), (30, 45), (45, 120)]
 DISTANCE_BANDS = [(0, 40), (40, 65), (65, 90), (90, 120), (120, 200), (200, 1000), (1000, 6000)]
 NO_BAND = "None"
 
-# Labels a distance band column can hold besides null.
-DISTANCE_LABELS = len(DISTANCE_BANDS) + 1
-
 
 def band(number: Column, bounds: list[tuple[int, int]]) -> Column:
     """Label of the band; null for null or non-positive numbers, ``'None'`` outside all bands.

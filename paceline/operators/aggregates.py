@@ -3,33 +3,50 @@
 A sum of doubles changes in its last bits with the order of the shuffle blocks. Ranks then split or
 merge ties from run to run, and a stage that is computed again after a lost executor may disagree
 with its first result. Sums of decimals are exact, so they always agree.
+
+A double is taken as the shortest decimal text that reads back as it, cut into a part of 18
+fraction digits and the next 18 digits below. That holds all digits of any value from 1e-15 up; a
+value out of range (smaller, larger, NaN, infinite) is added by itself, as the double it is, to the exact
+sum of the others.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Nine fraction digits. The wide form leaves a sum 29 digits before the point; the narrow one also
-# leaves room for a product with a year.
-SPEED_DECIMAL = "decimal(28,9)"
-NARROW_SPEED_DECIMAL = "decimal(18,9)"
-# Kilometres and metres are rounded to four decimals when they are read.
-LENGTH_DECIMAL = "decimal(18,4)"
+FRACTION = 18
+# Digits of a part: before the point ten, or four where it is multiplied by a year.
+WIDE, NARROW = 28, 22
+LEAST = 1e-15
 
 
-def exact_sum(number: Column, decimal: str = LENGTH_DECIMAL) -> Column:
-    """Sum as a double, added up exactly; if a value does not fit the decimal, a plain sum."""
-    fixed = number.try_cast(decimal)
-    exact = F.when(F.count(fixed) == F.count(number), F.try_sum(fixed).cast("double"))
-    return F.coalesce(exact, F.sum(number))
+def exact_parts(number: Column, digits: int = WIDE) -> tuple[Column, Column, Column]:
+    """High and low decimal part of a double, null if it is out of range, and the double if it is."""
+    number = number.cast("double")
+    size = F.abs(number)
+    fits = (size < 10.0 ** (digits - FRACTION) - 1) & ((size >= LEAST) | (size == 0))
+    kind = f"decimal({digits},{FRACTION})"
+    high = F.when(fits, number).try_cast(kind)
+    below = (number - high.cast("double")) * 10.0**FRACTION
+    return high, F.when(fits, below).try_cast(kind), F.when(~fits, number)
 
 
-def exact_avg(number: Column, decimal: str = SPEED_DECIMAL) -> Column:
-    """Mean as a double, added up exactly; if a value does not fit the decimal, a plain mean."""
-    fixed = number.try_cast(decimal)
-    exact = F.when(
-        F.count(fixed) == F.count(number), F.try_sum(fixed).cast("double") / F.count(number)
-    )
-    return F.coalesce(exact, F.avg(number))
+def put_together(high: Column, low: Column, rest: Column) -> Column:
+    """The double of a sum from the sums of its parts; null if there was nothing to add."""
+    exact = high.cast("double") + F.coalesce(low.cast("double"), F.lit(0.0)) / 10.0**FRACTION
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+
+
+def exact_sum(number: Column, add: Callable[[Column], Column] = lambda c: c) -> Column:
+    """Sum as a double; ``add`` may put the sums over a window."""
+    high, low, rest = exact_parts(number)
+    return put_together(add(F.try_sum(high)), add(F.try_sum(low)), add(F.sum(rest)))
+
+
+def exact_avg(number: Column) -> Column:
+    """Mean as a double."""
+    return F.try_divide(exact_sum(number), F.count(number))
 
 
 def recency_weighted_mean(
@@ -43,20 +60,26 @@ def recency_weighted_mean(
     rows one key has. For years up to ``now``; ``now`` itself no longer matters then.
     A missing value adds nothing above the line but keeps its weight below, a missing year neither.
     """
-    fixed = F.col(value).try_cast(NARROW_SPEED_DECIMAL)
-    by_year = F.col(value) * F.col(year)
-    all_fit = F.count(fixed) == F.count(value)
+    high, low, rest = exact_parts(F.col(value), NARROW)
+    years = F.col(year).cast("decimal(5,0)")
     sums = df.filter(F.col(year) <= now).groupBy(*keys).agg(
         (F.min(year) - 1).alias("_before"),
-        F.when(all_fit, F.sum(fixed)).alias("_values"),
-        F.when(all_fit, F.sum(fixed * F.col(year))).alias("_values_by_year"),
-        F.sum(value).alias("_plain"),
-        F.sum(by_year).alias("_plain_by_year"),
+        F.try_sum(high).alias("_high"),
+        F.try_sum(high * years).alias("_high_by_year"),
+        F.try_sum(low).alias("_low"),
+        F.try_sum(low * years).alias("_low_by_year"),
+        F.sum(rest).alias("_rest"),
+        F.sum(rest * F.col(year)).alias("_rest_by_year"),
         F.count("*").alias("_rows"),
         F.sum(F.col(year).cast("bigint")).alias("_years"),
     )
-    exact = F.col("_values_by_year") - F.col("_before") * F.col("_values")
-    plain = F.col("_plain_by_year") - F.col("_before") * F.col("_plain")
+
+    def weighted(part: str) -> Column:
+        before = F.col("_before").cast("decimal(5,0)")
+        # One digit less than the most there are, so that the difference keeps its fraction.
+        return F.col(f"_{part}_by_year").try_cast("decimal(36,18)") - (before * F.col(f"_{part}")).try_cast("decimal(36,18)")
+
+    rest_weighted = F.col("_rest_by_year") - F.col("_before") * F.col("_rest")
+    top = put_together(weighted("high"), weighted("low"), rest_weighted)
     bottom = F.col("_years") - F.col("_before") * F.col("_rows")
-    mean = F.try_divide(F.coalesce(exact.cast("double"), plain), bottom)
-    return sums.select(*keys, mean.alias(out))
+    return sums.select(*keys, F.try_divide(top, bottom).alias(out))

@@ -6,15 +6,6 @@ from pyspark.sql import functions as F
 
 from paceline.operators.joins import join_same
 
-# A side of at most this many rows of a few numbers is broadcast; a larger one is left to Spark.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, marked for broadcast if a known bound on its rows allows it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def leading_values(df: DataFrame, group: str, value: str, rank: str, k: int) -> DataFrame:
     """The ``k`` largest distinct values of each group, with their rank.
 
@@ -30,17 +21,15 @@ def leading_values(df: DataFrame, group: str, value: str, rank: str, k: int) ->
     )
 
 
-def top_dense_rank(
-    df: DataFrame, group: str, value: str, rank: str, k: int, groups: int
-) -> DataFrame:
+def top_dense_rank(df: DataFrame, group: str, value: str, rank: str, k: int) -> DataFrame:
     """Rows of ``df`` whose dense rank by falling ``value`` within ``group`` is at most ``k``.
 
-    ``groups`` is a proven bound on the number of groups; there are at most ``k * groups`` leading
-    values to join back. ``value`` is computed once for the leaders and once for the rows, so it
+    There are ``k`` leading values per group to join back; adaptive execution broadcasts them if
+    they turn out small. ``value`` is computed once for the leaders and once for the rows, so it
     must come out the same each time (see ``exact_avg``).
     """
     leaders = leading_values(df, group, value, rank, k)
-    return join_same(df, broadcast_if(leaders, k * groups), [group, value])
+    return join_same(df, leaders, [group, value])
 
 
 def floor_of_leaders(df: DataFrame, group: str, value: str, k: int, out: str) -> DataFrame:
@@ -53,9 +42,14 @@ def floor_of_leaders(df: DataFrame, group: str, value: str, k: int, out: str) ->
 
 
 def repeat_rows(df: DataFrame, times: str, block: int = 100_000) -> DataFrame:
-    """Each row ``times`` times, and the column dropped. Made in blocks, never as one long array."""
+    """Each row ``times`` times, and the column dropped.
+
+    Made in blocks, never as one long array; blocks are dealt out, so the copies of one row are
+    written by as many tasks as they have blocks.
+    """
     return (
         df.withColumn("_block", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {block}L)")))
+        .repartition(*df.columns, "_block")
         .withColumn(
             "_copy",
             F.explode(F.expr(f"sequence(1L, least({block}L, {times} - _block * {block}L))")),

@@ -1,10 +1,10 @@
 """Running total per key in two levels, so that one busy key spreads over many tasks."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paceline.operators.aggregates import LENGTH_DECIMAL
+from paceline.operators.aggregates import exact_parts, put_together
 
 
 def running_total(
@@ -14,24 +14,25 @@ def running_total(
 
     For rows that are unique in (key, time). The time line is cut into spans: totals run within each
     (key, span), and what came before a span is a running total of span sums, of which a key has
-    only as many as there are spans (days) in the data. Adding is exact, in decimals.
+    only as many as there are spans (days) in the data. Adding is exact (see ``aggregates``).
     """
     spans = df.withColumn("_span", F.floor(F.unix_timestamp(time) / span_seconds))
-    fixed = F.col(value).cast(LENGTH_DECIMAL)
+    parts = exact_parts(F.col(value))
     before = W.partitionBy(key).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         spans.groupBy(key, "_span")
-        .agg(F.sum(fixed).alias("_sum"))
-        .select(key, "_span", F.sum("_sum").over(before).alias("_before"))
+        .agg(*[F.sum(part).alias(f"_sum{i}") for i, part in enumerate(parts)])
+        .select(key, "_span", *[F.sum(f"_sum{i}").over(before).alias(f"_before{i}") for i in range(3)])
     )
     within = (
         W.partitionBy(key, "_span").orderBy(time).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    return (
-        spans.withColumn("_within", F.sum(fixed).over(within))
-        .join(offsets, [key, "_span"])
-        .withColumn(
-            out, (F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce("_within", F.lit(0))).cast("double")
-        )
-        .drop("_span", "_within", "_before")
-    )
+    running = spans.withColumns({f"_within{i}": F.sum(part).over(within) for i, part in enumerate(parts)})
+
+    def both(i: int) -> Column:
+        one, other = F.col(f"_before{i}"), F.col(f"_within{i}")
+        return F.coalesce(one + other, one, other)
+
+    total = F.coalesce(put_together(both(0), both(1), both(2)), F.lit(0.0))
+    helpers = [f"_{name}{i}" for name in ("within", "before") for i in range(3)]
+    return running.join(offsets, [key, "_span"]).withColumn(out, total).drop("_span", *helpers)

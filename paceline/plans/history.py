@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.operators.aggregates import SPEED_DECIMAL, recency_weighted_mean
+from paceline.operators.aggregates import recency_weighted_mean
 
 
 def weighted_history(distance: DataFrame, length_km: float, now: int) -> DataFrame:
@@ -18,5 +18,5 @@ def weighted_history(distance: DataFrame, length_km: float, now: int) -> DataFra
     # Means of a few races often end in exactly half a unit of the fourth decimal. As a decimal such
     # a mean is exact and rounds up; as a double it would go by its last bit.
     mean = F.col("average_speed")
-    rounded = F.round(mean.try_cast(SPEED_DECIMAL), 4).cast("double")
+    rounded = F.round(mean.try_cast("decimal(28,9)"), 4).cast("double")
     return means.withColumn("average_speed", F.coalesce(rounded, F.round(mean, 4)))

@@ -20,10 +20,8 @@ written out after the ranking.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.functions.bands import DISTANCE_LABELS
 from paceline.operators.joins import join_same
 from paceline.operators.ranking import (
-    broadcast_if,
     floor_of_leaders,
     repeat_rows,
     top_dense_rank,
@@ -33,7 +31,6 @@ from paceline.session import shared_path
 from paceline.sources.files import read_table, write_table
 
 WHO = ["athlete_id", BAND]
-INFINITE = float("inf")
 
 
 def improvement(first: Column, last: Column) -> Column:
@@ -43,31 +40,33 @@ def improvement(first: Column, last: Column) -> Column:
 
 def _not_below(value: str, floor: str) -> Column:
     """At or above the floor, or one of them unknown. The slack covers rounding; ranks are exact later."""
-    slack = (F.abs(F.col(floor)) + 100) * 1e-9
-    return F.coalesce(F.col(value) >= F.col(floor) - slack, F.lit(True))
+    size = F.abs(F.col(floor))
+    low = F.when(size < float("inf"), F.col(floor) - (size + 100) * 1e-9).otherwise(F.col(floor))
+    return F.coalesce(F.col(value) >= low, F.lit(True))
 
 
 def _reaching_floor(df: DataFrame, value: str, k: int) -> DataFrame:
     """Rows that can still be in the top ``k`` of their band. There is one floor per band label."""
     floor = floor_of_leaders(df.filter(F.col(value).isNotNull()), BAND, value, k, "_floor")
-    floors = join_same(df, broadcast_if(floor, DISTANCE_LABELS), [BAND], "left")
+    floors = join_same(df, floor, [BAND], "left")
     return floors.filter(_not_below(value, "_floor")).drop("_floor")
 
 
 def _careers(runs: DataFrame) -> DataFrame:
     """First and last day per athlete and band, and the best improvement between them.
 
-    The best is null, which means unknown, for a career with a speed below zero. A result without a
-    speed still sets the day; it sorts behind all others of its day.
+    The best is null, which means unknown, for a career with a speed below zero or not finite. A
+    result without a speed still sets the day; it sorts behind all others of its day.
     """
     day, usable = F.col("event_dates"), F.nullif(speed(), F.lit(0.0))
     ends = runs.groupBy(*WHO).agg(
-        F.min(F.struct(day, F.coalesce(usable, F.lit(INFINITE)).alias("s"))).alias("f"),
-        F.max(F.struct(day, F.coalesce(usable, F.lit(-INFINITE)).alias("s"))).alias("l"),
+        F.min(F.struct(day, usable.isNull().alias("none"), usable.alias("s"))).alias("f"),
+        F.max(F.struct(day, usable.isNotNull().alias("some"), usable.alias("s"))).alias("l"),
         F.min(usable).alias("slowest"),
+        F.max(usable).alias("fastest"),
     )
-    both_days = (F.col("f.s") != INFINITE) & (F.col("l.s") != -INFINITE)
-    best = F.when(F.col("slowest") > 0, improvement(F.col("f.s"), F.col("l.s")))
+    both_days = ~F.col("f.none") & F.col("l.some")
+    best = F.when((F.col("slowest") > 0) & (F.col("fastest") < float("inf")), improvement(F.col("f.s"), F.col("l.s")))
     return ends.filter(both_days).select(
         *WHO,
         F.col("f.event_dates").alias("_first"),
@@ -142,7 +141,5 @@ def most_improved(distance: DataFrame, k: int = TOP) -> DataFrame:
         "improvement_percentage",
         improvement(F.col("avg_speed_first_marathon"), F.col("avg_speed_last_marathon")),
     )
-    top = top_dense_rank(
-        pairs, BAND, "improvement_percentage", "rank_by_improvement", k, DISTANCE_LABELS
-    )
+    top = top_dense_rank(pairs, BAND, "improvement_percentage", "rank_by_improvement", k)
     return repeat_rows(repeat_rows(top, "_n1"), "_n2").orderBy(by_band(), "rank_by_improvement")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from paceline.functions.bands import (
     AGE_BANDS,
     DISTANCE_BANDS,
-    DISTANCE_LABELS,
     band_start,
     beyond_first_band,
     has_band,
@@ -56,7 +55,7 @@ def fastest_events(distance: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("athlete_num"), exact_avg(speed()).alias(MEAN_SPEED))
         .filter(F.col("athlete_num") > MIN_FINISHERS)
     )
-    top = top_dense_rank(events, BAND, MEAN_SPEED, "rank", TOP, DISTANCE_LABELS)
+    top = top_dense_rank(events, BAND, MEAN_SPEED, "rank", TOP)
     return top.orderBy(by_band(), "rank")
 
 
@@ -83,7 +82,7 @@ def most_attended_events(distance: DataFrame) -> DataFrame:
         .groupBy("year_of_event", "event_name", BAND)
         .agg(F.count("*").alias("athlete_num"))
     )
-    top = top_dense_rank(events, BAND, "athlete_num", "rank", TOP, DISTANCE_LABELS)
+    top = top_dense_rank(events, BAND, "athlete_num", "rank", TOP)
     return top.orderBy(by_band(), "rank")
 
 
@@ -94,7 +93,7 @@ def fastest_countries(distance: DataFrame) -> DataFrame:
         .groupBy(BAND, "athlete_country")
         .agg(exact_avg(speed()).alias(MEAN_SPEED))
     )
-    top = top_dense_rank(countries, BAND, MEAN_SPEED, "rank", TOP, DISTANCE_LABELS)
+    top = top_dense_rank(countries, BAND, MEAN_SPEED, "rank", TOP)
     return top.orderBy(by_band(), "rank")
 
 

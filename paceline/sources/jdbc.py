@@ -37,7 +37,6 @@ class Database:
         self._write(df, table, "append", connections)
 
     def _write(self, df: DataFrame, table: str, mode: str, connections: int, **more: str) -> None:
-        # Spark lowers the number of partitions to numPartitions, so the database sees no more
-        # connections than that.
+        # Dealt out by a shuffle: numPartitions alone would make the tasks before it as few.
         given = self.options(table, numPartitions=connections, batchsize=10_000, **more)
-        df.write.format("jdbc").options(**given).mode(mode).save()
+        df.repartition(connections).write.format("jdbc").options(**given).mode(mode).save()

@@ -10,16 +10,14 @@ from paceline.session import prepare, shared_path
 from paceline.streaming.sinks import LastStateTarget, Target, to_files, to_target
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session of its own for streams.
 
-    State is split into as many partitions as the first run has, for good: as many as batch
-    shuffles use, but no more than there are cores, as each is a task in every micro-batch.
+    A checkpoint keeps the number of state partitions of its first run for good, so it is given and
+    never read off the machine: ``state_partitions``, or else as many as the session's shuffles have.
     """
     session = prepare(spark.newSession())
-    partitions = min(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return session
 

@@ -11,6 +11,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from paceline.sources.jdbc import Database
 
+# A null message is told from an empty one; read CSV files of messages back with the same options.
+CSV = {"nullValue": "\\N"}
+
 # Writes one micro-batch, given its number.
 Target = Callable[[DataFrame, int], None]
 
@@ -32,6 +35,7 @@ class FileTarget:
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch")
             .format(self.format)
+            .options(**(CSV if self.format == "csv" else {}))
             .save(self.path)
         )
 
@@ -101,6 +105,7 @@ def to_files(
     writer = (
         df.writeStream.outputMode("append")
         .format(format)
+        .options(**(CSV if format == "csv" else {}))
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
