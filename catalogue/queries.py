@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +28,11 @@ from paceline.operators.clean import (
     with_content_id,
 )
 from paceline.plans import history, improvement, live, questions
-from paceline.schemas import LIVE_TABLES, RAW_HEADERS, TELEMETRY_FIELDS
+from paceline.schemas import LIVE_TABLES, RAW_HEADERS, TELEMETRY, TELEMETRY_FIELDS
 from paceline.session import shared_path
 from paceline.sources import files
-from paceline.streaming import jobs
-from paceline.streaming.sinks import CSV, FileTarget, fan_out, to_files
+from paceline.streaming import jobs, measures
+from paceline.streaming.sinks import CSV, FileTarget, fan_out, to_files, to_target
 
 Spark = SparkSession
 
@@ -261,7 +264,7 @@ def stream_total_climb(spark: Spark, sf: str) -> DataFrame:
     path = shared_path(spark, "altitude_gain")
     jobs.drain(to_files(live.as_table(windows, "value"), f"{path}/table", f"{path}/checkpoint"))
     table = session.readStream.schema(LIVE_TABLES["altitude_gain"]).parquet(f"{path}/table")
-    return jobs.drain_last_state(spark, live.climb_totals(table), "totals")
+    return jobs.drain_last_state(spark, live.climb_totals(table), "totals", ["runner_id"])
 
 
 def stream_finish_estimate(spark: Spark, sf: str) -> DataFrame:
@@ -278,6 +281,94 @@ def stream_finish_estimate(spark: Spark, sf: str) -> DataFrame:
     return jobs.drain_to_table(spark, estimates, "finish_estimation")
 
 
+# --- streams over several batches -------------------------------------------------------------
+
+
+def _span(spark: Spark, sf: str) -> tuple[int, int]:
+    """First and last second of the telemetry."""
+    at = F.unix_timestamp("time")
+    return tuple(fixtures.telemetry(spark, sf).agg(F.min(at), F.max(at)).first())
+
+
+def _quarters(spark: Spark, sf: str) -> list:
+    """The telemetry in four parts, in order of time."""
+    first, last = _span(spark, sf)
+    cuts = [first + (last + 1 - first) * i // 4 for i in range(5)]
+    at = F.unix_timestamp("time")
+    return [(at >= a) & (at < b) for a, b in zip(cuts, cuts[1:])]
+
+
+def _in_batches(spark: Spark, sf: str, name: str, plan, parts: list) -> DataFrame:
+    """A stream stopped after each part has arrived and started again for the next one, from its
+    checkpoint: state and watermark are carried over."""
+    root = shared_path(spark, name)
+    for part in parts:
+        arrived = fixtures.telemetry(spark, sf).select(*TELEMETRY.names).filter(part)
+        arrived.write.mode("append").parquet(f"{root}/arrived")
+        session = jobs.stream_session(spark, STATE_PARTITIONS)
+        stream = plan(session.readStream.schema(TELEMETRY).parquet(f"{root}/arrived"))
+        jobs.drain(to_files(stream, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.schema(stream.schema).parquet(f"{root}/table")
+
+
+def _average_rows(telemetry: DataFrame) -> DataFrame:
+    return _window_rows(live.average_speeds(live.speeds(telemetry)), "avg_speed")
+
+
+def stream_batches_avg_speed(spark: Spark, sf: str) -> DataFrame:
+    return _in_batches(spark, sf, "avg_speed_batches", _average_rows, _quarters(spark, sf))
+
+
+def stream_batches_compare(spark: Spark, sf: str) -> DataFrame:
+    plan = lambda t: live.comparisons(live.speeds(t))
+    return _in_batches(spark, sf, "comparison_batches", plan, _quarters(spark, sf))
+
+
+def stream_batches_elevation(spark: Spark, sf: str) -> DataFrame:
+    plan = lambda t: live.as_table(live.elevation_windows_live(t), "value")
+    return _in_batches(spark, sf, "elevation_batches", plan, _quarters(spark, sf))
+
+
+def stream_late_rows(spark: Spark, sf: str) -> DataFrame:
+    """The second half of the race arrives first, so the first half is late and dropped."""
+    first, last = _span(spark, sf)
+    middle = (first + last) // 2 // 5 * 5
+    at = F.unix_timestamp("time")
+    return _in_batches(spark, sf, "late", _average_rows, [at >= middle, at < middle])
+
+
+def stream_restart(spark: Spark, sf: str) -> DataFrame:
+    """A fan-out to three tables whose last target fails once: the batch is run again, rows are there once."""
+    root = shared_path(spark, "restart")
+    failures = []
+
+    def breaks_once(batch: DataFrame, number: int) -> None:
+        if not failures:
+            failures.append(number)
+            raise RuntimeError("a target is down")
+
+    tables = [FileTarget(f"{root}/{name}", ["runner_id", "time", "speed"]) for name in ("one", "two", "three")]
+    for _ in range(2):
+        target = fan_out(*tables[:2], breaks_once, tables[2])
+        writer = to_target(live.speeds(_stream(spark, sf)), target, f"{root}/checkpoint")
+        with contextlib.suppress(StreamingQueryException):
+            jobs.drain(writer)
+    read = [spark.read.parquet(f"{root}/{name}").select("runner_id", "time", "speed", F.lit(name).alias("target"))
+            for name in ("one", "two", "three")]
+    return read[0].union(read[1]).union(read[2])
+
+
+def chained_topics(spark: Spark, sf: str) -> DataFrame:
+    """Speed to a topic log, and pace from the messages found there."""
+    root = shared_path(spark, "chain")
+    speeds = measures.measures()["speed"].published(_stream(spark, sf))
+    log = speeds.select(F.lit("speed").alias("topic"), "key", F.col("value_text").alias("value"))
+    jobs.drain(to_files(log, f"{root}/log", f"{root}/first", partition_by="topic"))
+    messages = files.stream_topics(jobs.stream_session(spark, STATE_PARTITIONS), f"{root}/log", ["speed"])
+    pace = measures.measures()["pace"].from_source(messages)
+    return jobs.drain_to_table(spark, pace.select("key", F.col("value_text").alias("value")), "pace")
+
+
 ARCHIVED = ["speed", "heart_rate"]
 
 
@@ -407,6 +498,12 @@ QUERIES = {
     "stream_elevation_5s": stream_elevation_5s,
     "stream_total_climb": stream_total_climb,
     "stream_finish_estimate": stream_finish_estimate,
+    "stream_batches_avg_speed": stream_batches_avg_speed,
+    "stream_batches_compare": stream_batches_compare,
+    "stream_batches_elevation": stream_batches_elevation,
+    "stream_late_rows": stream_late_rows,
+    "stream_restart": stream_restart,
+    "chained_topics": chained_topics,
     "topic_archive": topic_archive,
     "source_telemetry_files": source_telemetry_files,
     "sink_csv": sink_csv,

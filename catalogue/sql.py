@@ -382,6 +382,18 @@ ORACLE = {
     + OUT.format(end="climbs.time", delay=5)
     + " GROUP BY runner_id",
     "stream_finish_estimate": ESTIMATE,
+    # In order of time no row is late, so batches change nothing in what comes out.
+    "stream_batches_avg_speed": AVERAGE + " WHERE " + OUT.format(end="window_end", delay=1),
+    "stream_batches_compare": COMPARE + " WHERE " + OUT.format(end="window_end", delay=1),
+    "stream_batches_elevation": CLIMB + " WHERE " + OUT.format(end="climbs.time", delay=5),
+    # Windows before the middle end before the watermark that the second half has left.
+    "stream_late_rows": AVERAGE
+    + " WHERE " + OUT.format(end="window_end", delay=1)
+    + " AND epoch(window_end) > (SELECT (epoch(min(time))::BIGINT + epoch(max(time))::BIGINT) // 2 // 5 * 5 FROM run)",
+    "stream_restart": _with(RUN)
+    + "SELECT runner_id, time, speed, target FROM run, (VALUES ('one'), ('two'), ('three')) AS t(target)",
+    "chained_topics": _with(RUN, PACES)
+    + f"SELECT CAST(runner_id AS VARCHAR) AS key, {TEXT_TIME} || ',' || CAST(pace AS VARCHAR) AS value FROM paces",
     "topic_archive": _with(RUN)
     + f"""SELECT 'speed' AS topic, CAST(runner_id AS VARCHAR) AS key,
         {TEXT_TIME} || ',' || CAST(speed AS VARCHAR) AS value FROM run

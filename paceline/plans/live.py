@@ -131,6 +131,11 @@ def elevation_windows_live(telemetry: DataFrame, delay: str = CLIMB_DELAY) -> Da
     return _elevation(altitude_gains_live(telemetry, delay), F.col("altitude_gain"))
 
 
+def elevation_of_gains(gains: DataFrame, delay: str = CLIMB_DELAY) -> DataFrame:
+    """The same from gains that were found before, as on their topic."""
+    return _elevation(gains.withWatermark("time", delay), F.col("altitude_gain"))
+
+
 def as_table(windows: DataFrame, value: str) -> DataFrame:
     """Rows of a live table from windows: runner, end of window, value."""
     return windows.select("runner_id", table_time().alias("time"), value)

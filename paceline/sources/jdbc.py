@@ -29,6 +29,18 @@ class Database:
         )
         return spark.read.format("jdbc").options(**ranges).load()
 
+    def execute(self, spark: SparkSession, statement: str) -> None:
+        """Run a statement that returns nothing, on the driver."""
+        java = spark.sparkContext._jvm.java
+        given = java.util.Properties()
+        for name, value in self.properties.items():
+            given.setProperty(name, value)
+        connection = java.sql.DriverManager.getConnection(self.url, given)
+        try:
+            connection.createStatement().executeUpdate(statement)
+        finally:
+            connection.close()
+
     def overwrite(self, df: DataFrame, table: str, connections: int = 32) -> None:
         """Replace the rows of a table and keep its definition; an empty frame empties it."""
         self._write(df, table, "overwrite", connections, truncate="true")

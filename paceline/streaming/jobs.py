@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from paceline.session import prepare, shared_path
-from paceline.streaming.sinks import LastStateTarget, Target, to_files, to_target
+from paceline.streaming.sinks import FileTarget, Target, last_state, to_files, to_target
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
@@ -49,11 +49,11 @@ def drain_to_target(
     drain(to_target(stream, target, f"{shared_path(spark, name)}/checkpoint", mode))
 
 
-def drain_last_state(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """The final state of a stream that gives its whole result each time."""
+def drain_last_state(spark: SparkSession, stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """The final state of a stream that gives the rows that changed each time."""
     path = f"{shared_path(spark, name)}/table"
-    drain_to_target(spark, stream, LastStateTarget(path), name, mode="complete")
-    return spark.read.schema(stream.schema).parquet(path)
+    drain_to_target(spark, stream, FileTarget(path), name, mode="update")
+    return last_state(spark, path, stream.schema, keys)
 
 
 def archive(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from paceline.sources.jdbc import Database
@@ -40,49 +41,68 @@ class FileTarget:
         )
 
 
-@dataclass(frozen=True)
-class LastStateTarget:
-    """A table that holds only the latest batch, for streams that give their whole result each time."""
-
-    path: str
+def last_state(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The latest row of each key in a table of files to which a stream in update mode writes its changes.
 
-    def __call__(self, batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(self.path)
+    Batches are only ever added, each as a whole, so readers never meet a missing table.
+    """
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "batch").alias("latest"))
+    return latest.select("latest.*")
 
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """A database table. A batch that is run again after a failure is appended again."""
+    """A database table with a column for the number of the batch. What a batch left behind before it failed
+    is deleted when it is run again, so every row is there once."""
 
     database: Database
     table: str
     columns: list[str | Column]
 
+    def clear_statement(self, number: int) -> str:
+        return f"DELETE FROM {self.table} WHERE batch = {int(number)}"
+
     def __call__(self, batch: DataFrame, number: int) -> None:
-        self.database.append(batch.select(*self.columns), self.table)
+        rows = batch.select(*self.columns).withColumn("batch", F.lit(number).cast("bigint"))
+        self.database.execute(batch.sparkSession, self.clear_statement(number))
+        self.database.append(rows, self.table)
 
 
 @dataclass(frozen=True)
 class KafkaTarget:
-    """A Kafka topic; the frame must have ``key`` and ``value``, and may have ``topic``."""
+    """A Kafka topic; the frame must have ``key`` and ``value``, and may have ``topic``.
+
+    A topic cannot take messages back, so each carries the number of its batch as a header, by which
+    readers can drop repeats.
+    """
 
     servers: str
     topic: str | None
     columns: list[str | Column]
 
+    @staticmethod
+    def with_header(rows: DataFrame, number: int) -> DataFrame:
+        mark = F.struct(F.lit("batch").alias("key"), F.lit(str(number)).cast("binary").alias("value"))
+        return rows.withColumn("headers", F.array(mark))
+
     def __call__(self, batch: DataFrame, number: int) -> None:
-        writer = batch.select(*self.columns).write.format("kafka")
+        writer = self.with_header(batch.select(*self.columns), number).write.format("kafka")
         writer = writer.option("kafka.bootstrap.servers", self.servers)
         (writer.option("topic", self.topic) if self.topic else writer).save()
 
 
 def fan_out(*targets: Target) -> Target:
-    """One target out of several. The batch is computed once and kept for all of them."""
+    """One target out of several. The batch is computed once and kept for all of them.
+
+    Topics come last: when an earlier target fails, nothing has been sent that cannot be replaced.
+    """
+    ordered = sorted(targets, key=lambda target: isinstance(target, KafkaTarget))
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            for target in targets:
+            for target in ordered:
                 target(batch, number)
         finally:
             batch.unpersist()
