@@ -202,11 +202,12 @@ def total_climb(spark: Spark, sf: str) -> DataFrame:
 
 
 def latest_total(spark: Spark, sf: str) -> DataFrame:
-    return live.latest(total_climb(spark, sf))
+    """Of the totals, without the course they took."""
+    return live.latest(live.climb_totals(elevation_5s(spark, sf)))
 
 
 def latest_per_runner(spark: Spark, sf: str) -> DataFrame:
-    return live.latest_per_runner(total_climb(spark, sf))
+    return live.latest_per_runner(live.climb_totals(elevation_5s(spark, sf)))
 
 
 def finish_estimate(spark: Spark, sf: str) -> DataFrame:

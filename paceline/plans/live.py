@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paceline.functions.telemetry import climb, minutes_left, pace, speed_status, whole_second
+from paceline.operators.aggregates import exact_avg, exact_sum
 from paceline.operators.ranking import repeat_rows
 from paceline.operators.running import running_total
 
 # Window length, and how late a row may be for either window.
 WINDOW = "5 seconds"
 SPEED_DELAY = "1 second"
-CLIMB_DELAY = "5 seconds"
+CLIMB_SECONDS = 5
+CLIMB_DELAY = f"{CLIMB_SECONDS} seconds"
 
 
 def second() -> Column:
@@ -38,7 +40,7 @@ def average_speeds(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
     return (
         speed.withWatermark("time", delay)
         .groupBy("runner_id", F.window("time", WINDOW))
-        .agg(F.round(F.avg("speed"), 4).alias("avg_speed"))
+        .agg(F.round(exact_avg(F.col("speed")), 4).alias("avg_speed"))
     )
 
 
@@ -55,16 +57,20 @@ def table_time() -> Column:
 def comparisons(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
     """Speed at the last second of each window against the mean of that window.
 
-    Only that second can meet an average, so the other four are dropped before the shuffle and never
-    reach the join state. Joining on the window keeps its watermark, which lets the state go.
+    A window keeps the speeds of its last second beside its mean, so the input is read once and there
+    is no join.
     """
     timed = speed.withWatermark("time", delay).select(
         "runner_id", "time", "speed", F.window("time", WINDOW).alias("window")
     )
-    last = timed.filter(F.col("time") == topic_time()).select("runner_id", "window", "speed")
-    joined = last.join(average_speeds(speed, delay), ["runner_id", "window"])
+    is_last = F.col("time") == topic_time()
+    windows = timed.groupBy("runner_id", "window").agg(
+        F.round(exact_avg(F.col("speed")), 4).alias("avg_speed"),
+        F.collect_list(F.when(is_last, F.struct("speed"))).alias("last"),
+    )
+    each = windows.select("runner_id", topic_time().alias("time"), "avg_speed", F.explode("last.speed").alias("speed"))
     status = speed_status(F.col("speed"), F.col("avg_speed"))
-    return joined.select("runner_id", topic_time().alias("time"), status.alias("comparison"))
+    return each.select("runner_id", "time", status.alias("comparison"))
 
 
 def altitudes(telemetry: DataFrame) -> DataFrame:
@@ -75,20 +81,37 @@ def altitudes(telemetry: DataFrame) -> DataFrame:
     )
 
 
+def _in_two_roles(altitude: DataFrame) -> DataFrame:
+    """Each row twice: as it is at its second, and as what was before at the next one."""
+    roles = F.array(
+        F.struct(F.col("time"), F.lit(True).alias("is_now")),
+        F.struct((F.col("time") + second()).alias("time"), F.lit(False).alias("is_now")),
+    )
+    return altitude.withColumn("_role", F.explode(roles)).select(
+        *[c for c in altitude.columns if c != "time"], "_role.*"
+    )
+
+
+def _both_roles(*fields: str) -> list[Column]:
+    """Aggregates: the rows of a second, and those of the second before."""
+    row = F.struct(*fields)
+    return [
+        F.collect_list(F.when(F.col("is_now"), row)).alias("_now"),
+        F.collect_list(F.when(~F.col("is_now"), row)).alias("_before"),
+    ]
+
+
 def _climb_pairs(telemetry: DataFrame) -> DataFrame:
-    """Rows one second apart, paired per runner, with the number of copies of each pair."""
+    """Rows one second apart, paired per runner, with the number of copies of each pair. One scan: copies
+    are counted first, then a second meets the one before it in one aggregation."""
     keys = ["runner_id", "time"]
-    now = altitudes(telemetry).groupBy(*keys, "altitude").agg(F.count("*").alias("_n"))
-    before = now.select(
-        "runner_id",
-        (F.col("time") + second()).alias("time"),
-        F.col("altitude").alias("_previous"),
-        F.col("_n").alias("_m"),
-    )
-    return now.join(before, keys).select(
+    counted = altitudes(telemetry).groupBy(*keys, "altitude").agg(F.count("*").alias("n"))
+    met = _in_two_roles(counted.filter(F.col("time").isNotNull() & F.col("runner_id").isNotNull()))
+    pairs = met.groupBy(*keys).agg(*_both_roles("altitude", "n")).withColumn("_c", F.explode("_now"))
+    return pairs.withColumn("_p", F.explode("_before")).select(
         *keys,
-        climb(F.col("altitude"), F.col("_previous")).alias("altitude_gain"),
-        (F.col("_n") * F.col("_m")).alias("_copies"),
+        climb(F.col("_c.altitude"), F.col("_p.altitude")).alias("altitude_gain"),
+        (F.col("_c.n") * F.col("_p.n")).alias("_copies"),
     )
 
 
@@ -117,7 +140,7 @@ def altitude_gains_live(telemetry: DataFrame, delay: str = CLIMB_DELAY) -> DataF
 
 def _elevation(gains: DataFrame, gain: Column) -> DataFrame:
     return gains.groupBy("runner_id", F.window("time", WINDOW)).agg(
-        F.round(F.sum(gain), 4).alias("value")
+        F.round(exact_sum(gain), 4).alias("value")
     )
 
 
@@ -126,9 +149,25 @@ def elevation_windows(telemetry: DataFrame) -> DataFrame:
     return _elevation(_climb_pairs(telemetry), F.col("altitude_gain") * F.col("_copies"))
 
 
-def elevation_windows_live(telemetry: DataFrame, delay: str = CLIMB_DELAY) -> DataFrame:
-    """Metres climbed per runner and five-second window, behind the join that finds the gains."""
-    return _elevation(altitude_gains_live(telemetry, delay), F.col("altitude_gain"))
+def elevation_windows_live(telemetry: DataFrame, delay: int = CLIMB_SECONDS) -> DataFrame:
+    """Metres climbed per runner and five-second window.
+
+    A window waits for the watermark anyway, so a second can wait for it too: each row goes into the
+    aggregate of its own second and of the next, and the windows add up what these give. The stream is
+    read once and nothing is joined. The later role is a second ahead, so the delay is one longer.
+    """
+    met = _in_two_roles(altitudes(telemetry)).withWatermark("time", f"{delay + 1} seconds")
+    seconds = met.groupBy("runner_id", "time").agg(*_both_roles("altitude"))
+    zero = F.lit(0.0)
+    gained = F.aggregate(
+        F.array_sort("_now"), zero,
+        lambda total, c: F.aggregate(
+            F.array_sort("_before"), total,
+            lambda sum_, p: sum_ + climb(c["altitude"], p["altitude"]).cast("double"),
+        ),
+    )
+    both = seconds.filter((F.size("_now") > 0) & (F.size("_before") > 0) & F.col("runner_id").isNotNull())
+    return _elevation(both.select("runner_id", "time", gained.alias("altitude_gain")), F.col("altitude_gain"))
 
 
 def elevation_of_gains(gains: DataFrame, delay: str = CLIMB_DELAY) -> DataFrame:
@@ -150,7 +189,7 @@ def total_climb(altitude_gain: DataFrame) -> DataFrame:
 def climb_totals(altitude_gain: DataFrame) -> DataFrame:
     """Metres climbed so far per runner, and when; one row each. Also for streams."""
     return altitude_gain.groupBy("runner_id").agg(
-        F.max("time").alias("time"), F.round(F.sum("value"), 4).alias("value")
+        F.max("time").alias("time"), F.round(exact_sum(F.col("value")), 4).alias("value")
     )
 
 
