@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +43,7 @@ from paceline.llm.pretokens import (
 from paceline.llm.tables import text_of
 
 # Characters of a chunk, and of the batches it is split in; buckets of words in a chunk.
-CHUNK, BATCH, BUCKETS = 24_000_000, 1_000_000, 1024
+CHUNK, BATCH, BUCKETS = 8_000_000, 500_000, 1024
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -110,7 +111,7 @@ def _split(schema: pa.Schema, chunk_size: int):
         for batch in batches:
             kept = batch.select(batch.schema.names[1:])
             texts = batch.column(0)
-            lengths = np.array(pa.compute.utf8_length(texts)) + 1
+            lengths = np.array(pc.utf8_length(texts)) + 1
             cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // BATCH)) + 1
             for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
                 if chunk.size and chunk.size + lengths[a:b].sum() > chunk_size:
