@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows that go to Python can be whole documents.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # State on local disk, so it may outgrow memory; each batch ships its changes, not all files; and
