@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 
 from paceline.llm import bpe, mixing, near_dup, pii, quality
 from paceline.llm.tables import fresh, stored, text_of
+from paceline.session import prepare
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.learn(docs.select("doc_id", "text"), labels)
     mark = fresh(docs, "score")
@@ -30,6 +32,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: shingles of five words, a similarity of 0.8 or more."""
+    prepare(spark)
     found = near_dup.near_duplicates(docs, words=5, percent=80)
     gone = found.filter("id is not null and id <> component_id").select("id").distinct()
     return docs.join(gone, F.col("doc_id") == F.col("id"), "left_anti")
@@ -37,12 +40,14 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets replaced by pseudonyms."""
+    prepare(spark)
     return pii.pseudonymise(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: once for each pass over a source that takes at least half of
     a document's words (only the last document of a source is ever taken in part)."""
+    prepare(spark)
     # Rows alike in id, source and text have one key; as many of them come back as the mix takes.
     parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("source", F.lit("\0")), F.sha2(text_of("text"), 256)]
     key = fresh(docs, "key")
@@ -59,6 +64,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and whether decoding them gives its text."""
+    prepare(spark)
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
     named = docs.select("doc_id", "source", "text", F.sha2(text_of("text"), 256).alias("digest"))
     encoded = bpe.encode(named, ranks, public_tokenizers.PATTERN, keep=["doc_id", "source", "digest"])
