@@ -1,9 +1,11 @@
 """Jobs from the command line, for spark-submit.
 
-    clean  raw results (CSV) to the two cleaned tables
-    ask    one question, or all, of the cleaned tables
-    live   one measure as a stream, from a topic to topic, table and files
-    total  climb totals as a stream, from the table of climbed windows
+    clean    raw results (CSV) to the two cleaned tables, in files and in a database
+    ask      one question, or all, of the cleaned tables
+    live     one measure as a stream, from a topic to topic, table and files
+    archive  messages of some topics as a stream, to a folder for each
+    total    climb totals as a stream, from the table of climbed windows
+    latest   the latest total
 """
 
 from __future__ import annotations
@@ -11,25 +13,26 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paceline.functions.telemetry import from_messages
 from paceline.operators.clean import (
+    both_limits,
     conform,
-    distance_limited,
     normalise_names,
-    time_limited,
     with_row_id,
 )
 from paceline.plans import history, improvement, live, questions
-from paceline.schemas import DISTANCE_LIMITED, LIVE_TABLES, TIME_LIMITED
+from paceline.schemas import DISTANCE_LIMITED, LIVE_TABLES, RESULTS, TIME_LIMITED
 from paceline.session import build_session
-from paceline.sources.files import read_results, read_table, write_table
+from paceline.sources.files import read_results, read_table, stream_topics, write_table
 from paceline.sources.jdbc import Database
 from paceline.sources.kafka import stream_kafka
-from paceline.streaming.jobs import run_forever, stream_session
+from paceline.streaming.jobs import archive, drain, run_forever, stream_session
 from paceline.streaming.measures import measures
-from paceline.streaming.sinks import LastStateTarget, fan_out, to_target
+from paceline.streaming.sinks import FileTarget, fan_out, last_state, to_target
 
+RESULTS_TABLE = "results"
 TIME_TABLE = "running_time_constrained"
 DISTANCE_TABLE = "running_distance_constrained"
 
@@ -49,78 +52,159 @@ QUESTIONS = {
 
 
 def clean(spark: SparkSession, source: str, tables: str) -> None:
+    """Both tables in one pass over the file, apart by a partition for each kind."""
     raw = normalise_names(read_results(spark, source))
-    for name, make, schema in (
-        (TIME_TABLE, time_limited, TIME_LIMITED),
-        (DISTANCE_TABLE, distance_limited, DISTANCE_LIMITED),
-    ):
-        write_table(conform(with_row_id(make(raw)), schema), f"{tables}/{name}")
+    write_table(conform(with_row_id(both_limits(raw)), RESULTS), f"{tables}/{RESULTS_TABLE}", partition_by="kind")
+
+
+def cleaned(spark: SparkSession, tables: str, kind: str) -> DataFrame:
+    """The table of one kind, ``time`` or ``distance``; only its partition and the columns asked for are read."""
+    results = read_table(spark, f"{tables}/{RESULTS_TABLE}", RESULTS).filter(F.col("kind") == kind)
+    return conform(results, TIME_LIMITED if kind == "time" else DISTANCE_LIMITED)
+
+
+def export(spark: SparkSession, tables: str, database: Database, connections: int) -> None:
+    """Both tables to a database, in place of what is there."""
+    for kind, name in (("time", TIME_TABLE), ("distance", DISTANCE_TABLE)):
+        database.overwrite(cleaned(spark, tables, kind), name, connections)
 
 
 def ask(spark: SparkSession, tables: str, number: int) -> DataFrame:
-    stored = {
-        "t": read_table(spark, f"{tables}/{TIME_TABLE}", TIME_LIMITED),
-        "d": read_table(spark, f"{tables}/{DISTANCE_TABLE}", DISTANCE_LIMITED),
-    }
     needed, plan = QUESTIONS[number]
-    return plan(*[stored[name] for name in needed])
+    return plan(*[cleaned(spark, tables, {"t": "time", "d": "distance"}[name]) for name in needed])
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(prog="paceline", description=__doc__,
-                                     formatter_class=argparse.RawDescriptionHelpFormatter)
-    jobs = parser.add_subparsers(dest="job", required=True)
+def past_races(spark: SparkSession, args: argparse.Namespace, database: Database | None) -> DataFrame | None:
+    """Distance-limited results for the finish estimate: from stored tables, or from the database in parallel
+    ranges of its row ids."""
+    if args.tables:
+        return cleaned(spark, args.tables, "distance")
+    if database and args.history_rows:
+        return database.read(spark, DISTANCE_TABLE, "id", 0, args.history_rows, args.connections)
+    return None
+
+
+def live_stream(spark: SparkSession, args: argparse.Namespace):
+    """The writer of one measure, from its topic to its targets."""
+    database = Database(args.jdbc, dict(p.split("=", 1) for p in args.jdbc_property)) if args.jdbc else None
+    past, races = None, past_races(spark, args, database)
+    if races is not None:
+        write_table(history.weighted_history(races, args.length_km, args.year), f"{args.checkpoint}/history")
+        past = read_table(spark, f"{args.checkpoint}/history")
+    measure = measures(past, args.length_km, args.salts)[args.measure]
+    topic = (measure.source if args.from_topic else None) or args.topic
+    messages = topic_messages(spark, args, [topic])
+    published = measure.from_source(messages) if args.from_topic else measure.published(from_messages(messages))
+    target = fan_out(*measure.targets(args.servers, database, args.files))
+    return to_target(published, target, f"{args.checkpoint}/stream")
+
+
+def topic_messages(spark: SparkSession, args: argparse.Namespace, topics: list[str]) -> DataFrame:
+    """Messages of some topics: from brokers, or from a topic log of files."""
+    if args.servers:
+        return stream_kafka(spark, args.servers, topics, args.starting, args.per_batch)
+    return stream_topics(spark, args.log, topics, args.per_batch)
+
+
+def total_stream(spark: SparkSession, args: argparse.Namespace):
+    climbs = spark.readStream.schema(LIVE_TABLES["altitude_gain"]).parquet(args.climbs)
+    return to_target(live.climb_totals(climbs), FileTarget(args.totals), args.checkpoint, "update")
+
+
+def latest_value(spark: SparkSession, totals: str) -> str:
+    """The latest total as a line of text."""
+    table = last_state(spark, totals, LIVE_TABLES["elev_gain_total"], ["runner_id"])
+    row = live.latest(table).first()
+    return "no value yet" if row is None else f"{row.time:%Y-%m-%d %H:%M:%S} runner {row.runner_id}: {row.value} m"
+
+
+def parser() -> argparse.ArgumentParser:
+    top = argparse.ArgumentParser(prog="paceline", description=__doc__,
+                                  formatter_class=argparse.RawDescriptionHelpFormatter)
+    jobs = top.add_subparsers(dest="job", required=True)
+
+    def database(job):
+        job.add_argument("--jdbc", help="URL of the database")
+        job.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE")
+        job.add_argument("--connections", type=int, default=32)
+
+    def stream(job):
+        job.add_argument("--state-partitions", type=int, help="tasks of a batch, kept by the checkpoint for good")
+        job.add_argument("--once", action="store_true", help="process what is there and end")
+
+    def topics(job):
+        job.add_argument("--servers", help="brokers")
+        job.add_argument("--log", help="folder of a topic log, in place of brokers")
+        job.add_argument("--starting", default="latest", help="first offsets: latest or earliest")
+        job.add_argument("--per-batch", type=int, help="most messages (or files of a log) in a batch")
+
     job = jobs.add_parser("clean")
     job.add_argument("source")
     job.add_argument("tables")
+    database(job)
     job = jobs.add_parser("ask")
     job.add_argument("tables")
     job.add_argument("answers", help="folder for the answers")
     job.add_argument("--question", type=int, choices=sorted(QUESTIONS))
     job = jobs.add_parser("live")
     job.add_argument("measure")
-    job.add_argument("servers", help="brokers of the telemetry topic and the measure's topic")
     job.add_argument("checkpoint")
     job.add_argument("--topic", default="run_stats")
-    job.add_argument("--jdbc", help="URL of the database with the live tables")
-    job.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE")
-    job.add_argument("--files", help="folder for files of messages")
+    job.add_argument("--from-topic", action="store_true", help="start from the topic of the measure before")
+    job.add_argument("--files", help="folder for files of messages, or of the table")
     job.add_argument("--tables", help="cleaned tables, for the finish estimate")
+    job.add_argument("--history-rows", type=int, help="row ids in the database's table, for the finish estimate")
     job.add_argument("--year", type=int, default=2022)
     job.add_argument("--length-km", type=int, default=21)
+    job.add_argument("--salts", type=int, default=8, help="tasks that share a busy runner's history")
+    topics(job)
+    stream(job)
+    database(job)
+    job = jobs.add_parser("archive")
+    job.add_argument("archive", help="folder with a folder for each topic")
+    job.add_argument("checkpoint")
+    job.add_argument("topics", nargs="+")
+    topics(job)
+    stream(job)
+    job.set_defaults(starting="earliest")
     job = jobs.add_parser("total")
     job.add_argument("climbs", help="folder of the altitude_gain table")
     job.add_argument("totals", help="folder for the totals")
     job.add_argument("checkpoint")
-    args = parser.parse_args()
+    stream(job)
+    job = jobs.add_parser("latest")
+    job.add_argument("totals")
+    return top
+
 
-    spark = build_session()
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "clean":
         clean(spark, args.source, args.tables)
+        if args.jdbc:
+            properties = dict(p.split("=", 1) for p in args.jdbc_property)
+            export(spark, args.tables, Database(args.jdbc, properties), args.connections)
     elif args.job == "ask":
         for number in [args.question] if args.question else sorted(QUESTIONS):
             write_table(ask(spark, args.tables, number), f"{args.answers}/question_{number}")
-    elif args.job == "live":
-        session = stream_session(spark)
-        past = None
-        if args.tables:
-            distance = read_table(session, f"{args.tables}/{DISTANCE_TABLE}", DISTANCE_LIMITED)
-            write_table(
-                history.weighted_history(distance, args.length_km, args.year),
-                f"{args.checkpoint}/history",
-            )
-            past = read_table(session, f"{args.checkpoint}/history")
-        measure = measures(past, args.length_km)[args.measure]
-        telemetry = from_messages(stream_kafka(session, args.servers, [args.topic]))
-        properties = dict(item.split("=", 1) for item in args.jdbc_property)
-        database = Database(args.jdbc, properties) if args.jdbc else None
-        target = fan_out(*measure.targets(args.servers, database, args.files))
-        run_forever(session, to_target(measure.published(telemetry), target, f"{args.checkpoint}/stream"))
+    elif args.job == "latest":
+        print(latest_value(spark, args.totals))
     else:
-        session = stream_session(spark)
-        climbs = session.readStream.schema(LIVE_TABLES["altitude_gain"]).parquet(args.climbs)
-        target = LastStateTarget(args.totals)
-        run_forever(session, to_target(live.climb_totals(climbs), target, args.checkpoint, "complete"))
+        session = stream_session(spark, args.state_partitions)
+        if args.job == "live":
+            writer = live_stream(session, args)
+        elif args.job == "archive":
+            writer = archive(topic_messages(session, args, args.topics), args.archive, args.checkpoint)
+        else:
+            writer = total_stream(session, args)
+        if args.once:
+            drain(writer)
+        else:
+            run_forever(session, writer)
+
+
+def main() -> None:
+    args = parser().parse_args()
+    run(build_session(), args)
 
 
 if __name__ == "__main__":

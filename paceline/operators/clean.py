@@ -87,6 +87,33 @@ def distance_limited(raw: DataFrame) -> DataFrame:
     )
 
 
+def both_limits(raw: DataFrame) -> DataFrame:
+    """Results of both kinds in one pass, with the columns of both tables and ``kind``, ``time`` or ``distance``;
+    the columns of the other kind are null. Rows without a length are in neither table and left out."""
+    timed = is_time_limited(F.col("_length"))
+    done = F.col("_performance")
+    speed_text = F.col("_speed")
+    typed = with_age(
+        raw.withColumnsRenamed({
+            "event_distance/length": "_length", "athlete_performance": "_performance", "athlete_average_speed": "_speed",
+        }).filter(timed.isNotNull())
+    ).withColumns(
+        {
+            "kind": F.when(timed, "time").otherwise("distance"),
+            "time_limit_h": F.when(timed, limit_hours(F.col("_length"))),
+            "distance_crossed_km": F.when(timed, kilometres(done)),
+            "distance_km": F.when(~timed, kilometres(F.col("_length"))),
+            "time_spent": F.when(~timed, done),
+            "time_spent_s": F.when(~timed, clock_seconds(done)),
+            "athlete_average_speed_kmph": F.when(timed, speed_always_metres(speed_text)).otherwise(speed_mixed_units(speed_text)),
+            "age_group": band(F.col("athlete_age"), AGE_BANDS),
+        }
+    )
+    return typed.withColumn(
+        "distance_group_km", F.when(F.col("kind") == "distance", band(F.col("distance_km"), DISTANCE_BANDS))
+    ).drop("_length", "_performance", "_speed")
+
+
 def with_row_id(df: DataFrame) -> DataFrame:
     """Add ``id``, unique over the table but not the same in the next run."""
     return df.withColumn("id", F.monotonically_increasing_id())

@@ -51,6 +51,13 @@ DISTANCE_LIMITED = _struct(
     "athlete_average_speed_kmph double, id bigint, distance_group_km string, age_group string"
 )
 
+# Both cleaned tables in one, as one pass over the raw file stores them.
+RESULTS = T.StructType(
+    [f for f in DISTANCE_LIMITED.fields]
+    + [f for f in TIME_LIMITED.fields if f.name not in DISTANCE_LIMITED.names]
+    + [T.StructField("kind", T.StringType())]
+)
+
 # Telemetry fields in message order; the runner travels as the message key.
 TELEMETRY_FIELDS = ["time", "latitude", "longitude", "altitude", "distance", "heart_rate", "speed"]
 TELEMETRY = _struct(

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from paceline import __main__ as cli
 from paceline import fixtures
 from paceline.plans import live, questions
+from paceline.functions.telemetry import to_messages
+from paceline.operators.clean import both_limits, conform, distance_limited, normalise_names, time_limited
 from paceline.schemas import DISTANCE_LIMITED, RAW_HEADERS, TIME_LIMITED
 from paceline.session import shared_path
-from paceline.sources.files import read_table
+from paceline.sources.files import read_results, write_topics
 from paceline.sources.jdbc import Database
 from paceline.streaming import jobs, sinks
 from paceline.streaming.measures import measures
@@ -23,8 +25,7 @@ def test_clean_and_ask(spark):
     raw = fixtures.race_results_raw(spark, SF)
     raw.toDF(*RAW_HEADERS).write.csv(f"{path}/csv", header=True)
     cli.clean(spark, f"{path}/csv", path)
-    timed = read_table(spark, f"{path}/{cli.TIME_TABLE}")
-    distance = read_table(spark, f"{path}/{cli.DISTANCE_TABLE}")
+    timed, distance = (cli.cleaned(spark, path, kind) for kind in ("time", "distance"))
     assert (timed.schema, distance.schema) == (TIME_LIMITED, DISTANCE_LIMITED)
     assert (timed.count(), distance.count()) == (1681, 4232)
     assert distance.select("id").distinct().count() == 4232
@@ -34,6 +35,71 @@ def test_clean_and_ask(spark):
     assert cli.ask(spark, path, 8).count() == 2
 
 
+def test_cleaning_reads_the_file_once(spark):
+    path = shared_path(spark, "once")
+    raw = fixtures.race_results_raw(spark, SF)
+    raw.toDF(*RAW_HEADERS).write.csv(f"{path}/csv", header=True)
+    both = both_limits(normalise_names(read_results(spark, f"{path}/csv")))
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    for kind, make, schema in (("time", time_limited, TIME_LIMITED), ("distance", distance_limited, DISTANCE_LIMITED)):
+        columns = [c for c in schema.names if c != "id"]
+        one = conform(both.filter(F.col("kind") == kind).withColumn("id", F.lit(0)), schema).select(columns)
+        apart = conform(make(raw).withColumn("id", F.lit(0)), schema).select(columns)
+        assert one.exceptAll(apart).isEmpty() and apart.exceptAll(one).isEmpty()
+
+
+def command(spark, *words):
+    cli.run(spark, cli.parser().parse_args([str(w) for w in words]))
+
+
+def test_jobs_in_a_row(spark, capsys):
+    root = shared_path(spark, "jobs")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    telemetry = fixtures.telemetry(spark, SF)
+    write_topics(to_messages(telemetry).select(F.lit("run_stats").alias("topic"), "key", "value"), f"{root}/log")
+    once = ["--once", "--state-partitions", 3]
+    command(spark, "live", "elevation", f"{root}/c1", "--log", f"{root}/log", "--files", f"{root}/out", *once)
+    for run in (1, 2):
+        command(spark, "total", f"{root}/out/altitude_gain", f"{root}/totals", f"{root}/c2", *once)
+    capsys.readouterr()
+    command(spark, "latest", f"{root}/totals")
+    printed = capsys.readouterr().out
+    windows = spark.read.parquet(f"{root}/out/altitude_gain")
+    best = live.latest(live.climb_totals(windows)).first()
+    assert printed.strip().endswith(f"runner {best.runner_id}: {best.value} m")
+    command(spark, "archive", f"{root}/archive", f"{root}/c3", "run_stats", "--log", f"{root}/log", *once)
+    assert spark.read.parquet(f"{root}/archive").count() == telemetry.count()
+    command(spark, "live", "speed", f"{root}/c4", "--log", f"{root}/log", "--files", f"{root}/out", *once)
+    speeds = spark.read.schema("value string, batch int").options(**sinks.CSV).csv(f"{root}/out/speed")
+    assert speeds.count() == telemetry.count()
+
+
+def test_latest_of_nothing(spark):
+    path = shared_path(spark, "none")
+    spark.createDataFrame([], "runner_id long, time timestamp, value double, batch long").write.parquet(path)
+    assert cli.latest_value(spark, path) == "no value yet"
+
+
+def test_options_of_the_jobs(spark):
+    args = cli.parser().parse_args(["archive", "/a", "/c", "x", "y", "--servers", "h:1"])
+    assert (args.starting, args.topics, args.servers) == ("earliest", ["x", "y"], "h:1")
+    args = cli.parser().parse_args(["live", "pace", "/c", "--from-topic", "--salts", "3", "--per-batch", "10", "--state-partitions", "5"])
+    assert (args.from_topic, args.salts, args.per_batch, args.state_partitions, args.starting) == (True, 3, 10, 5, "latest")
+
+
+def test_repeated_batches_of_targets(spark):
+    target = sinks.JdbcTarget(Database("jdbc:x:y"), "pace", ["a"])
+    assert target.clear_statement(7) == "DELETE FROM pace WHERE batch = 7"
+    rows = sinks.KafkaTarget.with_header(spark.range(1), 7).first()
+    assert [(h.key, bytes(h["value"])) for h in rows.headers] == [("batch", b"7")]
+    order = []
+    topic = sinks.KafkaTarget("h:1", "t", ["key", "value"])
+    object.__setattr__(topic, "columns", None)
+    with pytest.raises(TypeError):
+        sinks.fan_out(topic, lambda b, n: order.append(n))(spark.range(1), 7)
+    assert order == [7]
+
+
 def history(spark):
     return spark.createDataFrame([(1, 12.0), (2, 9.5)], "runner_id bigint, average_speed double")
 
