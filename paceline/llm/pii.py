@@ -32,11 +32,11 @@ KINDS = {
     "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_key|apikey)\s*[=:]\s*[\"']?[A-Za-z0-9+/_-]{6,}",
     "email": r"(?<![\p{L}\d._%+-])[\p{L}\d][\p{L}\d._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)",
-    "phone": r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)|(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+    "phone": r"(?<!\w)\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)|(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
              r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "date": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])|(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])",
-    "card": r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)",
+    "card": r"(?<!\w)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w)",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
 }
 PATTERN = "|".join(KINDS.values())

@@ -324,6 +324,14 @@ def test_pseudonyms_keep_the_format(spark):
     assert all(int(o) < 256 for o in re.findall(r"\d+", first[3].split(",")[0]))
 
 
+def test_neighbours_do_not_hide_values(spark):
+    card, phone = "4111111111111111", "+1 (212) 555-0123"
+    texts = [card, phone, f"61 {card} 27", f"{phone} 27 {card}", f"10.0.0.1 {card}", f"{card}, {phone}", f"{card}&&& {phone}###"]
+    one, two, *others = renamed(spark, texts)
+    assert all(card not in t and phone not in t for t in others)
+    assert all(one in t for t in others) and all(two in t for t, source in zip(others, texts[2:]) if phone in source)
+
+
 def test_what_fails_its_check_stays(spark):
     texts = ["4111111111111112", "2023-02-29", "300.1.1.1", "version 1.2.3", "12:30, 50% of 1999", "a@b", None, "", "mail me", LONG, "x" * 9000 + "@"]
     assert renamed(spark, texts) == texts
