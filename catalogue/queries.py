@@ -20,6 +20,7 @@ from paceline.functions.parsing import (
 )
 from paceline.functions.telemetry import encode, from_messages, to_messages, to_topic
 from paceline.operators.clean import (
+    conform,
     distance_limited,
     is_time_limited,
     length,
@@ -414,15 +415,32 @@ def sink_csv(spark: Spark, sf: str) -> DataFrame:
 
 
 def sink_reset(spark: Spark, sf: str) -> DataFrame:
-    """Rows of a live table before and after it is emptied."""
-    path = shared_path(spark, "pace")
-    files.write_table(pace(spark, sf), path)
-    before = spark.read.parquet(path).count()
-    files.empty_table(spark, path, LIVE_TABLES["pace"])
-    after = files.read_table(spark, path, LIVE_TABLES["pace"])
-    return after.agg(F.count("*").alias("rows_after")).withColumn(
-        "rows_before", F.lit(before).cast("bigint")
-    )
+    """Rows of a live table, and of the same table emptied."""
+    kept, emptied = shared_path(spark, "pace"), shared_path(spark, "pace")
+    for path in (kept, emptied):
+        files.write_table(pace(spark, sf), path)
+    files.empty_table(spark, emptied, LIVE_TABLES["pace"])
+    counts = [
+        files.read_table(spark, path, LIVE_TABLES["pace"]).agg(F.count("*").alias("n")).withColumn("at", F.lit(at))
+        for at, path in (("before", kept), ("after", emptied))
+    ]
+    rows = lambda at: F.max(F.when(F.col("at") == at, F.col("n")))
+    return counts[0].union(counts[1]).agg(rows("after").alias("rows_after"), rows("before").alias("rows_before"))
+
+
+def created_tables(spark: Spark, sf: str) -> DataFrame:
+    """Live tables created without rows and then filled: their columns as the files have them, and rows."""
+    root = shared_path(spark, "created")
+    rows = {"pace": pace(spark, sf), "avg_speed": avg_speed_5s(spark, sf), "altitude_gain": elevation_5s(spark, sf)}
+    found = []
+    for name, filling in rows.items():
+        schema, path = LIVE_TABLES[name], f"{root}/{name}"
+        files.empty_table(spark, path, schema)
+        columns = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("type")) for c, t in spark.read.parquet(path).dtypes]
+        conform(filling, schema).write.mode("append").parquet(path)
+        filled = files.read_table(spark, path, schema).agg(F.count("*").alias("num_rows"))
+        found.append(filled.select(F.lit(name).alias("table"), F.explode(F.array(*columns)).alias("c"), "num_rows"))
+    return found[0].union(found[1]).union(found[2]).select("table", "c.*", "num_rows")
 
 
 def sink_fanout(spark: Spark, sf: str) -> DataFrame:
@@ -509,5 +527,6 @@ QUERIES = {
     "source_telemetry_files": source_telemetry_files,
     "sink_csv": sink_csv,
     "sink_reset": sink_reset,
+    "created_tables": created_tables,
     "sink_fanout": sink_fanout,
 }

@@ -406,6 +406,13 @@ ORACLE = {
         || CAST(avg_speed AS VARCHAR) AS value FROM averages WHERE """
     + OUT.format(end="window_end", delay=1),
     "sink_reset": _with(RUN) + "SELECT CAST(0 AS BIGINT) AS rows_after, count(*) AS rows_before FROM run",
+    "created_tables": _with(RUN, PACES, AVERAGES, GAINS, CLIMBS)
+    + """SELECT t."table", c."column", c.type, t.num_rows FROM (
+        SELECT 'pace' AS "table", count(*) AS num_rows FROM paces
+        UNION ALL SELECT 'avg_speed', count(*) FROM averages
+        UNION ALL SELECT 'altitude_gain', count(*) FROM climbs) t
+      JOIN (VALUES ('pace', 'pace'), ('avg_speed', 'avg_speed'), ('altitude_gain', 'value')) v("table", value) USING ("table"),
+      LATERAL (VALUES ('runner_id', 'bigint'), ('time', 'timestamp'), (v.value, 'double')) AS c("column", type)""",
     "sink_fanout": _with(RUN, PACES)
     + f"""SELECT target, CASE WHEN target = 'csv' THEN NULL ELSE CAST(runner_id AS VARCHAR) END AS key,
         {TEXT_TIME} || ',' || CAST(pace AS VARCHAR) AS value
