@@ -33,6 +33,8 @@ from paceline.llm.tables import text_of
 CHUNK, WIDTH, FILTERS, HIDDEN = 512, 4, 20, 16
 SAMPLE, WINDOWS = 1500, 3
 EPOCHS, BATCH, RATE = 6, 64, 0.01
+# Few windows are gone over more often, until there were this many steps.
+STEPS = 800
 THRESHOLD = 0.7
 # Positions whose answers are held at once.
 SLICE = 200_000
@@ -74,9 +76,10 @@ def train(windows: Sequence[bytes], labels: Sequence[int], seed: int = 0) -> Net
     weight = np.where(target == 1, 0.5 / share, 0.5 / max(1 - share, 1e-9))
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parts()]
     step = 0
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // max(1, -(-len(windows) // BATCH))))
+    for epoch in range(epochs):
         order = rng.permutation(len(windows))
-        rate = RATE * (1 - epoch / EPOCHS) + RATE / 10
+        rate = RATE * (1 - epoch / epochs) + RATE / 10
         for at in range(0, len(order), BATCH):
             mine = order[at : at + BATCH]
             x = raw[mine]
