@@ -6,10 +6,10 @@ first in the set (its minwise token), so sets with similarity s stay together ov
 probability s ** d. A node is taken apart until it holds at most ``LIMIT`` sets, at most ``LEVELS`` times; then its
 sets are compared with each other by sketches, and what looks similar is confirmed on the full sets.
 
-Work is linear in a group of copies, not quadratic. Of a node's similar pairs first only a forest is
-confirmed: each set with the first set much like it, or else the one most like it. Confirmed links are put together
-to components, and then the similar pairs that still lie in different components are confirmed, all
-of them. A node that no level takes apart is a group of near-copies: it is cut into blocks that all hold its
+Of the similar pairs first one for each set is confirmed: with the smallest set much like it, or else one most
+like it in some node. Confirmed links are put together to components, and then the similar pairs that still
+lie in different components are compared on their full sets, all of them, in the task of their node; only links
+come out. So a group of copies is not paired, only what hangs loosely on it is. A node that no level takes apart is a group of near-copies: it is cut into blocks that all hold its
 first set; afterwards whatever did not end in that set's component meets every block.
 
 Defined cases: null or empty text and text without words have an empty set and link with nothing; texts
@@ -33,10 +33,12 @@ from paceline.llm.tables import stored, text_of
 
 # Independent trees and the levels of each; sets of a node that is compared exhaustively.
 TREES, LEVELS, LIMIT = 16, 6, 64
-# Sketches agree with an error of about 0.036; this much below the threshold a pair is not looked at.
+# Coarse sketches agree with an error of about 0.036; this much below the threshold a pair is not looked at.
 MARGIN = 0.18
 # As much agreement above the threshold makes a pair a sure candidate.
 SURE = 0.05
+# Sets of a block of strays, and of the members it meets.
+CELL = 256
 _U = np.uint64
 
 
@@ -158,7 +160,10 @@ def _agreement(sketch: np.ndarray) -> np.ndarray:
 
 
 def _forest(threshold: float):
-    """Candidate links of each node: every set with the first one surely similar, or else with the most similar."""
+    """Candidate links of each node: every set with the first one surely similar, or else with the most similar.
+
+    A set that is similar to later ones only is linked with itself, to be known as one with similar sets.
+    """
 
     def forest(batches):
         for table in _runs(batches):
@@ -166,47 +171,100 @@ def _forest(threshold: float):
             begin = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
             size = np.diff(np.append(begin, len(node)))
             twos = begin[size == 2]
-            near = twos[(sketch[twos] == sketch[twos + 1]).mean(axis=1) >= threshold - MARGIN]
-            a, b = [ids[near]], [ids[near + 1]]
+            pair = (sketch[twos] == sketch[twos + 1]).mean(axis=1)
+            near = twos[pair >= threshold - MARGIN]
+            low, high = np.minimum(ids[near], ids[near + 1]), np.maximum(ids[near], ids[near + 1])
+            a, b, sure_ones = [low], [high], [pair[pair >= threshold - MARGIN] >= threshold + SURE]
             for s, n in zip(begin[size > 2].tolist(), size[size > 2].tolist()):
                 order = s + np.argsort(ids[s : s + n], kind="stable")
                 like = np.tril(_agreement(sketch[order]), -1)
                 sure = like >= threshold + SURE
                 best = np.where(sure.any(axis=1), sure.argmax(axis=1), like.argmax(axis=1))
-                at = np.flatnonzero(like[np.arange(n), best] >= threshold - MARGIN)
-                a.append(ids[order[at]])
-                b.append(ids[order[best[at]]])
-            a, b = np.concatenate(a), np.concatenate(b)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                close = like >= threshold - MARGIN
+                at = np.flatnonzero(close.any(axis=1))
+                alone = np.flatnonzero(close.any(axis=0) & ~close.any(axis=1))
+                a += [ids[order[best[at]]], ids[order[alone]]]
+                b += [ids[order[at]], ids[order[alone]]]
+                sure_ones += [sure.any(axis=1)[at], np.zeros(len(alone), bool)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, sure_ones)], ["a", "b", "sure"])
 
     return forest
 
 
-def _rest(threshold: float):
-    """Candidate links of each node between sets that are not in one component (and, where sides are given,
-    between a set of side 0 and one of side 1)."""
+def _open_pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of a node that are not in one component, in pairs; of two sides where there are sides (0 and 1, else 2)."""
+    node, root, side = (table.column(c).to_numpy() for c in ("node", "root", "side"))
+    begin = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    for s, n in zip(begin.tolist(), np.diff(np.append(begin, len(node))).tolist()):
+        r, w = root[s : s + n], side[s : s + n]
+        if (r == r[0]).all():
+            continue
+        x, y = np.nonzero(np.triu(r[:, None] != r[None, :], 1) & ((w[:, None] != w[None, :]) | ((w[:, None] == 2) & (w[None, :] == 2))))
+        for p in range(0, len(x), 50_000):
+            yield s + x[p : p + 50_000], s + y[p : p + 50_000]
+
+
+def _loose(threshold: float):
+    """Rows of nodes that are similar to one of another component, by coarse sketches."""
 
-    def rest(batches):
+    def loose(batches):
         for table in _runs(batches):
-            node, ids, root, side = (table.column(c).to_numpy() for c in ("node", "id", "root", "side"))
             sketch = _sketches(table)
-            begin = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            keep = np.zeros(table.num_rows, bool)
+            for x, y in _open_pairs(table):
+                like = (sketch[x] == sketch[y]).mean(axis=1) >= threshold - MARGIN
+                keep[x[like]] = keep[y[like]] = True
+            for batch in table.select(["node", "id", "root", "side"]).filter(pa.array(keep)).to_batches():
+                yield batch
+
+    return loose
+
+
+def common(sets: list[np.ndarray], at_once: int = 500_000) -> np.ndarray:
+    """How many elements each two of the sorted sets have in common: the product of their incidence matrix with
+    itself, by stretches of the hashes with about ``at_once`` elements, so that long texts fit as well."""
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    parts = sum(map(len, sets)) // at_once + 1
+    edges = [i * ((1 << 64) // parts) for i in range(1, parts)]
+    cuts = [[0, *np.searchsorted(x, np.array(edges, np.uint64)), len(x)] for x in sets]
+    width = 4096
+    for part in range(parts):
+        mine = [x[c[part] : c[part + 1]] for x, c in zip(sets, cuts)]
+        _, column = np.unique(np.concatenate(mine), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in mine])
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, [first, first + width])
+            piece = np.zeros((len(sets), width), np.float32)
+            piece[row[a:b], column[a:b] - first] = 1
+            out += piece @ piece.T
+    return out
+
+
+def _exact(percent: int):
+    """Links between sets of different components in one node, on the full sets."""
+
+    def exact(batches):
+        for table in _runs(batches):
+            node, ids = table.column("node").to_numpy(), table.column("id").to_numpy()
+            raw = table.column("shingles").to_pylist()
+            sizes = np.array([len(v) // 8 for v in raw], np.int64)
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for s, n in zip(begin.tolist(), np.diff(np.append(begin, len(node))).tolist()):
-                r, w = root[s : s + n], side[s : s + n]
-                if (r == r[0]).all():
-                    continue
-                open_ = (r[:, None] != r[None, :]) & ((w[:, None] < w[None, :]) | ((w[:, None] == 2) & (w[None, :] == 2)))
-                x, y = np.nonzero(open_)
-                for p in range(0, len(x), 100_000):
-                    i, j = x[p : p + 100_000], y[p : p + 100_000]
-                    like = (sketch[s + i] == sketch[s + j]).mean(axis=1) >= threshold - MARGIN
-                    a.append(ids[s + i[like]])
-                    b.append(ids[s + j[like]])
+            at, both = -1, None
+            for x, y in _open_pairs(table):
+                if node[x[0]] != at:
+                    at = node[x[0]]
+                    start, end = np.searchsorted(node, at, side="left"), np.searchsorted(node, at, side="right")
+                    both = common([np.frombuffer(v, np.uint64) for v in raw[start:end]]).astype(np.int64)
+                shared = both[x - start, y - start]
+                keep = 100 * shared >= percent * (sizes[x] + sizes[y] - shared)
+                a.append(ids[x[keep]])
+                b.append(ids[y[keep]])
             a, b = np.concatenate(a), np.concatenate(b)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return rest
+    return exact
 
 
 def _confirmed(percent: int):
@@ -221,12 +279,11 @@ def _confirmed(percent: int):
     return confirmed
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the distinct pairs (a stored table) whose full sets are similar enough."""
-    named = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = stored(texts.join(named, "id", "left_semi").mapInArrow(_set_rows(words), "id long, shingles binary"), "sets")
-    left = pairs.join(sets.select(F.col("id").alias("i"), F.col("shingles").alias("left")), F.col("a") == F.col("i")).drop("i")
-    both = left.join(sets.select(F.col("id").alias("i"), F.col("shingles").alias("right")), F.col("b") == F.col("i")).drop("i")
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs whose full sets are similar enough."""
+    side = lambda name: sets.select(F.col("id").alias("i"), F.col("shingles").alias(name))
+    left = pairs.join(side("left"), F.col("a") == F.col("i")).drop("i")
+    both = left.join(side("right"), F.col("b") == F.col("i")).drop("i")
     return stored(both.select("a", "b", "left", "right").mapInArrow(_confirmed(percent), "a long, b long"), "confirmed")
 
 
@@ -289,30 +346,39 @@ def near_duplicates(
     blocks = large.filter("id <> first").withColumn("block", block).select(name("block").alias("node"), "id").union(
         firsts.select(name("block").alias("node"), F.col("first").alias("id")))
     compared = stored(small.union(blocks), "nodes")
-    found = _deal(compared.join(sketches, "id").select("node", "id", "sketch")).mapInArrow(_forest(threshold), "a long, b long")
-    tried = stored(found.filter("a <> b").distinct(), "candidates")
-    links = _links(tried, texts, words, percent)
+    found = stored(
+        _deal(compared.join(sketches, "id").select("node", "id", "sketch"))
+        .mapInArrow(_forest(threshold), "a long, b long, sure boolean").distinct(), "candidates")
+    # The full sets of all that have a similar one. By the same join at every size: it moves the texts once.
+    named = found.select(F.col("a").alias("id")).union(found.select("b")).union(large.select("id")).distinct()
+    sets = stored(texts.join(named.hint("merge"), "id", "left_semi").mapInArrow(_set_rows(words), "id long, shingles binary"), "sets")
+    tried = stored(
+        found.filter("a <> b").groupBy("b").agg(F.min(F.struct(~F.col("sure"), "a")).alias("best")).select("best.a", "b"), "tried")
+    links = _links(tried, sets, percent)
 
     # Similar pairs that the forest left in different components.
     roots = stored(components(links), "roots")
     rooted = lambda df: df.join(roots, F.col("id") == F.col("node_id"), "left").withColumn(
         "root", F.coalesce("root", "id")).drop("node_id")
     roots = roots.withColumnRenamed("node", "node_id")
-    inside = rooted(compared.join(sketches, "id")).select("node", "id", "root", F.lit(2).alias("side"), "sketch")
+    inside = rooted(small.join(sketches, "id")).select("node", "id", "root", F.lit(2).alias("side"), "sketch")
     members = stored(rooted(large).join(sketches, "id"), "members")
     first = roots.select(F.col("node_id").alias("first_id"), F.col("root").alias("first_root"))
     strays = members.join(first, F.col("first") == F.col("first_id"), "left").filter(
         F.col("root") != F.coalesce("first_root", "first"))
-    counts = strays.groupBy("node").agg(F.count("*").alias("strays")).select(
-        F.col("node").alias("n"), F.ceil(F.col("strays") / LIMIT).cast("int").alias("stray_parts"))
+    whole = members.groupBy("node").agg(F.count("*").alias("all"))
+    counts = strays.groupBy("node").agg(F.count("*").alias("strays")).join(whole, "node").select(
+        F.col("node").alias("n"), F.ceil(F.col("strays") / CELL).cast("int").alias("stray_parts"), F.ceil(F.col("all") / CELL).cast("int").alias("cells"))
     some = strays.join(counts, F.col("node") == F.col("n")).withColumn("mine", F.pmod(F.xxhash64("id", "node"), F.col("stray_parts")).cast("int"))
-    one = some.withColumn("block", every).select(name("mine", "block").alias("node"), "id", "root", F.lit(0).alias("side"), "sketch")
+    meets = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    one = some.withColumn("block", meets).select(name("mine", "block").alias("node"), "id", "root", F.lit(0).alias("side"), "sketch")
     parts = F.explode(F.sequence(F.lit(0), F.col("stray_parts") - 1))
-    other = members.join(counts, F.col("node") == F.col("n")).withColumn("block", block).withColumn("mine", parts).select(
+    cell = F.pmod(F.xxhash64("node", "id"), F.col("cells")).cast("int")
+    other = members.join(counts, F.col("node") == F.col("n")).withColumn("block", cell).withColumn("mine", parts).select(
         name("mine", "block").alias("node"), "id", "root", F.lit(1).alias("side"), "sketch")
-    rest = _deal(inside.union(one).union(other)).mapInArrow(_rest(threshold), "a long, b long")
-    more = stored(rest.distinct().join(tried, ["a", "b"], "left_anti"), "candidates")
-    more = _links(more, texts, words, percent)
+    loose = stored(_deal(inside.union(one).union(other)).mapInArrow(_loose(threshold), "node long, id long, root long, side int"), "loose")
+    with_sets = loose.join(sets, "id").select("node", "id", "root", "side", "shingles")
+    more = stored(_deal(with_sets).mapInArrow(_exact(percent), "a long, b long").distinct(), "more")
     roots = components(links.union(more))
     named = classes.join(roots, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("component_id"))
     return signed.join(named, "digest", "left").select(

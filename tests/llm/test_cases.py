@@ -380,3 +380,11 @@ def test_grid_join_against_all_pairs(spark):
     for r in found:
         assert (r.n_links, r.component_id) == ((many[r.id], root[r.id]) if r.id is not None else (0, None))
     assert grid_join.near_vectors(spark.createDataFrame([], VECTORS), 0.93).count() == 0
+
+
+def test_common_elements_by_stretches():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 2**64, 3000, np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (0, 1, 500, 2500, 2500)]
+    expected = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    assert near_dup.common(sets).tolist() == near_dup.common(sets, 700).tolist() == expected
