@@ -173,6 +173,68 @@ def test_licences(spark):
     assert licenses.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+SOLD = """3. Neither the name of Some Company Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+GNU = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU {} as published by
+the Free Software Foundation, either version {} of the License, or
+(at your option) any later version."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at"""
+CANONICAL = [
+    (MIT, ["mit"]), (BSD, ["bsd-2-clause"]), (BSD + SOLD, ["bsd-3-clause"]), (ISC, ["isc"]), (MPL, ["mpl-2.0"]), (APACHE, ["apache-2.0"]),
+    (GNU.format("General Public License", "3"), ["gpl-3.0"]), (GNU.format("General Public License", "2"), ["gpl-2.0"]),
+    (GNU.format("Lesser General Public License", "2.1"), ["lgpl-2.1"]), (GNU.format("Affero General Public License", "3"), ["agpl-3.0"]),
+]
+
+
+def test_canonical_licence_texts(spark):
+    texts = [x for t, names in CANONICAL for x in (
+        (t, names), (re.sub(r"\n(?!\n)", " ", t), names), (t.replace("\n", "\r\n"), names), ("/*\n * " + t.replace("\n", "\n * ") + "\n */", names))]
+    texts += [
+        ("a\n// SPDX-License-Identifier: MIT\nint x;", ["mit"]), ("SPDX-License-Identifier: GPL-3.0-or-later", ["gpl-3.0"]),
+        ("# SPDX-License-Identifier: (MIT OR Apache-2.0)", ["apache-2.0", "mit"]), ("SPDX-License-Identifier: Unknown-1.0", []),
+        ("This project is licensed under the MIT License - see the LICENSE file for details.", ["mit"]),
+        ("The code in this folder is released under the\nBSD 3-Clause License.", ["bsd-3-clause"]), ("Distributed under GPLv2.", ["gpl-2.0"]),
+        ("This project is not licensed under the MIT License.", []), ("It is not\nlicensed under the MIT License.", []),
+        (BSD + SOLD + BSD, ["bsd-3-clause", "bsd-2-clause"]), (MIT + "\n\n" + BSD, ["mit", "bsd-2-clause"]),
+    ]
+    found = {r.doc_id: r.licenses for r in licenses.scan(frame(spark, [(i, t, "s") for i, (t, _) in enumerate(texts)])).collect()}
+    assert [(t, sorted(found[i])) for i, (t, _) in enumerate(texts)] == [(t, sorted(names)) for t, names in texts]
+
+
 # --- 6: near-duplicates ----------------------------------------------------------------------------
 
 
