@@ -166,10 +166,11 @@ ALL_SENTENCES, ALL_RULES = {name: [x] for name, x in SENTENCES.items()} | TEXTS,
 
 # Marks in a normalised text: S ends a sentence, L a line; two L end a paragraph.
 _SEP = "(?: ?L ?| )"
-_LEAD = (f"(?:(?:(?:this|the|these|all|our|its)(?:{_SEP}(?!not{_SEP})[a-z0-9.-]+)*?{_SEP})?(?:is|are)(?:{_SEP}(?:also|hereby))?{_SEP}"
+_LEAD = (f"(?:(?:(?:this|the|these|all|our|its)[a-z0-9. -]*?(?:L[a-z0-9. -]*?)??{_SEP})?(?:is|are)(?:{_SEP}(?:also|hereby))?{_SEP}"
          f"|(?:dual|you{_SEP}may{_SEP}use{_SEP}it){_SEP})")
-_TAIL = f"(?:{_SEP}(?:please{_SEP})?see(?:{_SEP}the)?(?:{_SEP}(?:accompanying|file|licen[cs]e[a-z0-9.-]*|copying))+(?:{_SEP}for(?:{_SEP}(?:more|full))?{_SEP}(?:details|information))?)"
-_EXPRESSION = f"{TAG} [a-z0-9.-]+(?: (?:or|and|with) [a-z0-9.-]+)*"
+_TAIL = f"(?:{_SEP}(?:please{_SEP})?see(?:{_SEP}the)?(?:{_SEP}(?:accompanying|file|licen[cs]e[a-z0-9.-]*|copying)){{1,4}}(?:{_SEP}for(?:{_SEP}(?:more|full))?{_SEP}(?:details|information))?)"
+# Loops go over characters, not groups: Java's groups recurse, and a document can be one line.
+_EXPRESSION, _ANYTHING = f"{TAG} [a-z0-9. -]+", "[a-z0-9.S -]+?" + "(?:L[a-z0-9.S -]*?)??" * 3
 
 
 def _trie(known: Sequence[str]) -> str:
@@ -180,7 +181,7 @@ def _trie(known: Sequence[str]) -> str:
         for words in tails:
             if words:
                 heads.setdefault(words[0], []).append(words[1:])
-        parts = [(r"(?:(?!L ?L).)+?" if w == "*" else re.escape(w).replace(r"\-", "-")) + after(rest) for w, rest in heads.items()]
+        parts = [(_ANYTHING if w == "*" else re.escape(w).replace(r"\-", "-")) + after(rest) for w, rest in heads.items()]
         return "(?:" + "|".join(parts) + ")"
 
     def after(tails: list[list[str]]) -> str:
@@ -213,7 +214,7 @@ def identifiers(text: Column, known: Mapping[str, Sequence[str]] = ALL_SENTENCES
         bare = F.regexp_extract(plain, f"^{_LEAD}?({one}){_TAIL}?$", 1)
         by_name = [F.when(bare.rlike("^" + re.escape(s).replace(r"\ ", " ").replace(r"\-", "-").replace(r"\*", ".+") + "$"), F.lit(i)) for s, i in pairs if "*" in s]
         standard = F.regexp_replace(bare, f"^{verb}", UNDER)
-        parts = F.transform(F.split(F.regexp_replace(plain, f"^{TAG} ", ""), " (?:or|and|with) ", -1), lambda x: table[F.concat(F.lit(f"{TAG} "), x)])
+        parts = F.transform(F.split(F.regexp_replace(plain, f"^{TAG} ", ""), " (?:or|and|with) ", -1), lambda x: table[F.concat(F.lit(f"{TAG} "), F.substring_index(x, " ", 1))])
         return F.when(plain.startswith(f"{TAG} "), parts).otherwise(F.array(F.coalesce(table[plain], table[bare], table[standard], *by_name)))
 
     return F.filter(F.flatten(F.transform(found, ids)), lambda i: i.isNotNull())

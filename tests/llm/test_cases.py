@@ -229,7 +229,8 @@ def test_canonical_licence_texts(spark):
         ("This project is licensed under the MIT License - see the LICENSE file for details.", ["mit"]),
         ("The code in this folder is released under the\nBSD 3-Clause License.", ["bsd-3-clause"]), ("Distributed under GPLv2.", ["gpl-2.0"]),
         ("This project is not licensed under the MIT License.", []), ("It is not\nlicensed under the MIT License.", []),
-        (BSD + SOLD + BSD, ["bsd-3-clause", "bsd-2-clause"]), (MIT + "\n\n" + BSD, ["mit", "bsd-2-clause"]),
+        ("This " + "word " * 60_000 + ".", []), ("Neither the name of " + "word " * 60_000, []), ("word " * 60_000 + "\nLicensed under the MIT License", ["mit"]),
+        ("SPDX-License-Identifier: MIT" + " OR MIT" * 20_000, ["mit"]), (BSD + SOLD + BSD, ["bsd-3-clause", "bsd-2-clause"]), (MIT + "\n\n" + BSD, ["mit", "bsd-2-clause"]),
     ]
     found = {r.doc_id: r.licenses for r in licenses.scan(frame(spark, [(i, t, "s") for i, (t, _) in enumerate(texts)])).collect()}
     assert [(t, sorted(found[i])) for i, (t, _) in enumerate(texts)] == [(t, sorted(names)) for t, names in texts]
