@@ -2,14 +2,15 @@
 
 Found and checked values are replaced by a keyed permutation of all values of the same format: cards
 (13 to 19 digits with a right check digit, which the pseudonym has too), telephone and social
-security numbers, dates of the calendar, IPv4 addresses, e-mail addresses, access keys, and
+security numbers, dates of the calendar (day, month or year first, with - / or ., of one or two digits, also before T and a time), IPv4 addresses, e-mail addresses, access keys, and
 values of passwords and tokens. A value that fails its check (a wrong check digit, a day that does not
 exist, an octet above 255) stays as it is. Equal values get equal pseudonyms in every document, different
 ones different pseudonyms.
 
 The permutation is a Feistel network. Texts are halved and each character is moved within its own kind
 (digits, lower case, upper case; letters a to f in hexadecimal tokens), other characters stay in
-place. Dates are numbered within four hundred years, 146,097 = 189 x 773 days, addresses within 65,536 x 65,536,
+place. Dates are numbered within four hundred years, 146,097 = 189 x 773 days (with a one-digit day or month: within
+those of the same shape), addresses within 65,536 x 65,536,
 and the two residues are moved in turn, so no value leaves its format. The round function is a keyed SHA-256.
 
 A text is cut at the matches of one pattern and put together again from the pieces between and the
@@ -29,13 +30,14 @@ from paceline.llm.tables import fresh
 ROUNDS = 6
 # What is looked for.
 KINDS = {
-    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_key|apikey)\s*[=:]\s*[\"']?[A-Za-z0-9+/_-]{6,}",
+    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_key|apikey)[\"']?\s*[=:]\s*[\"']?[A-Za-z0-9+/_-]{6,}",
     "email": r"(?<![\p{L}\d._%+-])[\p{L}\d][\p{L}\d._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)",
     "phone": r"(?<!\w)\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)|(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
-             r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
+             r"|(?<![\w.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "date": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])|(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])",
+    "date": r"(?<![\w-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})(?:(?=T\d\d)|(?![\w-]))|(?<![\w/])(?:\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4})(?:(?=T\d\d)|(?![\w/]))"
+            r"|(?<![\w.])(?:\d{4}\.\d{1,2}\.\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=T\d\d)|(?!\w|\.\d))",
     "card": r"(?<!\w)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w)",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
 }
@@ -46,8 +48,9 @@ ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "012345
 YEARS_FROM, DAYS = "1800-01-01", (189, 773)
 
 
-def _noise(key: str, kind: str, round: Column, half: Column) -> Column:
-    return F.sha2(F.concat(F.lit(f"{key}|{kind}|"), round.cast("string"), F.lit("|"), half), 256)
+def _noise(key: str, kind: str | Column, round: Column, half: Column) -> Column:
+    lead = F.lit(f"{key}|{kind}|") if isinstance(kind, str) else F.concat(F.lit(f"{key}|"), kind, F.lit("|"))
+    return F.sha2(F.concat(lead, round.cast("string"), F.lit("|"), half), 256)
 
 
 def _moved(text: Column, noise: Column, letters: int) -> Column:
@@ -83,7 +86,7 @@ def permuted_text(text: Column, key: str, kind: str, letters: int = 26) -> Colum
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round, lambda s: F.concat(s["l"], s["r"]))
 
 
-def permuted_number(number: Column, key: str, kind: str, rows: int, columns: int) -> Column:
+def permuted_number(number: Column, key: str, kind: str | Column, rows: int | Column, columns: int | Column) -> Column:
     """The pseudonym of a number below ``rows * columns``, of the same range."""
     start = F.struct(F.floor(number / columns).cast("long").alias("l"), (number % columns).cast("long").alias("r"))
 
@@ -130,18 +133,68 @@ def _ip(value: Column, key: str) -> Column:
     return F.when(F.array_max(octets) < 256, new)
 
 
+# Months and days as they are written with one digit for one of them at least, for each shape those of any year.
+_LONG = {m: 31 if m in (1, 3, 5, 7, 8, 10, 12) else 28 if m == 2 else 30 for m in range(1, 13)}
+SHORT = {
+    "Md": [f"{m}|{d}" for m in range(1, 10) for d in range(1, 10)],
+    "Mdd": [f"{m}|{d:02}" for m in range(1, 10) for d in range(1, 29)],
+    "Mdd-end": [f"{m}|{d}" for m in range(1, 10) for d in range(29, _LONG[m] + 1)],
+    "MMd": [f"{m:02}|{d}" for m in range(1, 13) for d in range(1, 10)],
+}
+LEAP = [str(y) for y in range(1800, 2200) if y % 4 == 0 and (y % 100 or y % 400 == 0)]
+
+
+ORDERS = ("yMd", "dMy", "Mdy")
+
+
 def _date(value: Column, key: str) -> Column:
-    out = F.lit(None).cast("string")
-    for layout in ("MM/dd/yyyy", "dd/MM/yyyy", "yyyy-MM-dd"):
-        day = F.to_date(F.try_to_timestamp(value, F.lit(layout)))
-        number = F.datediff(day, F.lit(YEARS_FROM).cast("date"))
-        new = F.date_format(F.date_add(F.lit(YEARS_FROM).cast("date"), permuted_number(number, key, layout, *DAYS).cast("int")), layout)
-        out = F.when((F.length(value) == 10) & (number >= 0) & (number < DAYS[0] * DAYS[1]), new).otherwise(out)
-    return out
+    """A date's number within its layout is permuted; of day and month first, what the calendar allows is taken, the day before the month."""
+    mark, parts = F.regexp_extract(value, "[-/.]", 0), F.split(value, "[-/.]")
+    none = F.lit(None).cast("struct<kind:string,number:bigint,rows:int,columns:int>")
+    whole, short = [], []
+
+    def found(fits: Column, kind: Column, number: Column, rows: int, columns: int) -> Column:
+        return F.when(fits, F.struct(kind.alias("kind"), number.cast("long").alias("number"), F.lit(rows).alias("rows"), F.lit(columns).alias("columns"))).otherwise(none)
+
+    for order in ORDERS:
+        wide = {"y": "yyyy", "M": "MM", "d": "dd"}
+        layout = F.concat(F.lit(wide[order[0]]), mark, F.lit(wide[order[1]]), mark, F.lit(wide[order[2]]))
+        number = F.datediff(F.to_date(F.try_to_timestamp(value, layout)), F.lit(YEARS_FROM).cast("date"))
+        whole.append(found((F.length(value) == 10) & (number >= 0) & (number < DAYS[0] * DAYS[1]), layout, number, *DAYS))
+        year, month, day = (parts[order.index(x)] for x in "yMd")
+        right = (F.length(value) < 10) & (F.length(year) == 4) & year.between("1800", "2199")
+        for shape, slots in SHORT.items():
+            place = F.array_position(F.array(*map(F.lit, slots)), F.concat(month, F.lit("|"), day))
+            short.append(found(right & (place > 0), F.lit(f"{order}|{shape}"), (year.cast("long") - 1800) * len(slots) + place - 1, 400, len(slots)))
+        leap = F.array_position(F.array(*map(F.lit, LEAP)), year)
+        short.append(found(right & (month == "2") & (day == "29") & (leap > 0), F.lit(f"{order}|leap"), leap - 1, 1, len(LEAP)))
+
+    def moved(at: Column) -> Column:
+        other = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{key}|"), at["kind"]), 256), 1, 12), 16, 10).cast("long")
+        # 29 February goes to another leap year.
+        next_leap = (at["number"] + other % (len(LEAP) - 1) + 1) % len(LEAP)
+        new = F.when(at["rows"] == 1, next_leap).otherwise(permuted_number(at["number"], key, at["kind"], at["rows"], at["columns"]))
+        return F.struct(at["kind"].alias("kind"), new.cast("int").alias("number"))
+
+    def written(at: Column) -> Column:
+        shape, number = F.substring(at["kind"], 5, 9), at["number"]
+        year = F.when(shape == "leap", F.element_at(F.array(*map(F.lit, LEAP)), number + 1))
+        both = F.when(shape == "leap", F.lit("2|29"))
+        for name, slots in SHORT.items():
+            year = year.when(shape == name, (F.floor(number / len(slots)) + 1800).cast("string"))
+            both = both.when(shape == name, F.element_at(F.array(*map(F.lit, slots)), number % len(slots) + 1))
+        new = {"y": year, "M": F.substring_index(both, "|", 1), "d": F.substring_index(both, "|", -1)}
+        out = F.call_function("date_format", F.date_add(F.lit(YEARS_FROM).cast("date"), number), at["kind"])
+        for order in ORDERS:
+            out = F.when(at["kind"].startswith(f"{order}|"), F.concat(new[order[0]], mark, new[order[1]], mark, new[order[2]])).otherwise(out)
+        return out
+
+    first = F.coalesce(*whole, *short)
+    return F.when(first.isNotNull(), F.element_at(F.transform(F.transform(F.array(first), moved), written), 1))
 
 
 def _secret(value: Column, key: str) -> Column:
-    lead = F.regexp_extract(value, r"^\w+\s*[=:]\s*[\"']?", 0)
+    lead = F.regexp_extract(value, r"^\w+[\"']?\s*[=:]\s*[\"']?", 0)
     rest = F.substring(value, F.length(lead) + 1, F.length(value))
     new = F.when(rest.rlike("^[0-9a-f]+$"), permuted_text(rest, key, "hex", 6)).otherwise(permuted_text(rest, key, "secret"))
     return F.concat(lead, new)

@@ -387,6 +387,23 @@ def test_pseudonyms_keep_the_format(spark):
     assert all(int(o) < 256 for o in re.findall(r"\d+", first[3].split(",")[0]))
 
 
+def test_other_shapes_of_dates_numbers_and_secrets(spark):
+    values = [
+        ("2024-01-02", r"\d{4}-\d\d-\d\d", "T10:00:00Z"), ("31.12.1999", r"\d\d\.\d\d\.\d{4}", "."), ("2024/01/02", r"\d{4}/\d\d/\d\d", ""),
+        ("2024.01.02", r"\d{4}\.\d\d\.\d\d", ""), ("31-12-1999", r"\d\d-\d\d-\d{4}", ""), ("1.2.2024", r"\d\.\d\.\d{4}", ","),
+        ("2024-1-2", r"\d{4}-\d-\d", ""), ("3/14/2024", r"\d/\d\d/\d{4}", ""), ("5.11.2024", r"\d\.\d\d\.\d{4}", ""), ("2024/12/3", r"\d{4}/\d\d/\d", ""),
+        ("31.3.2024", r"\d\d\.\d\.\d{4}", ""), ("29.2.2024", r"29\.2\.\d{4}", ""), ("555 123 4567", r"\d{3} \d{3} \d{4}", ""),
+        ('"password": "Secret99"', r'"password": "[A-Z][a-z]{5}\d\d"', ""), ("'token' : 'abcdef12'", r"'token' : '[a-z]{6}\d\d'", ""),
+    ]
+    for (value, shape, after), text in zip(values, renamed(spark, [f"so {v}{after} it" for v, _, after in values])):
+        inside = re.fullmatch(f"so (.*){re.escape(after)} it", text)
+        assert inside and inside[1] != value and re.fullmatch(shape, inside[1]), text
+    wrong = ["30.2.2024", "29.2.2023", "2024-13-1", "2024-1-2x", "1.2.3.2024.5", "31/4/2024"]
+    assert renamed(spark, wrong) == wrong
+    days = [f"{d}.{m}.{y}" for y in (1999, 2024) for m in range(1, 13) for d in range(1, 29) if d < 10 or m < 10]
+    assert len(set(renamed(spark, days))) == len(days)
+
+
 def test_neighbours_do_not_hide_values(spark):
     card, phone = "4111111111111111", "+1 (212) 555-0123"
     texts = [card, phone, f"61 {card} 27", f"{phone} 27 {card}", f"10.0.0.1 {card}", f"{card}, {phone}", f"{card}&&& {phone}###"]
