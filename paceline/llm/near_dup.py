@@ -3,7 +3,7 @@
 A text is the set of its word shingles. Equal sets count as one from the start. Every set walks down
 ``trees`` independent trees: on each level it takes the branch of the token that a random order puts
 first in the set (its minwise token), so sets with similarity s stay together over d levels with
-probability s ** d. A node is taken apart until it holds at most ``LIMIT`` sets, at most ``LEVELS`` times; then its
+probability s ** d; there are as many trees as ``RECALL`` needs at the asked similarity. A node is taken apart until it holds at most ``LIMIT`` sets, at most ``LEVELS`` times; then its
 sets are compared with each other by sketches, and what looks similar is confirmed on the full sets.
 
 Of the similar pairs first one for each set is confirmed: with the smallest set much like it, or else one most
@@ -20,6 +20,7 @@ with one id are one node; ties do not matter, the smallest id names a component;
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 from paceline.llm.components import components
 from paceline.llm.tables import stored, text_of
 
-# Independent trees and the levels of each; sets of a node that is compared exhaustively.
-TREES, LEVELS, LIMIT = 16, 6, 64
-# Coarse sketches agree with an error of about 0.036; this much below the threshold a pair is not looked at.
+# The levels of each tree; sets of a node that is compared exhaustively.
+LEVELS, LIMIT = 6, 64
+# The chance that a pair of just the asked similarity meets in a node, even if all nodes go down to the last level.
+RECALL = 0.9995
+# Coarse sketches agree with an error of about 0.035 (102 bytes at 85 percent) or 0.032 (156 bytes at 80); this much below the threshold a pair is not looked at.
 MARGIN = 0.18
 # As much agreement above the threshold makes a pair a sure candidate.
 SURE = 0.05
@@ -51,9 +54,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _BASE = 0x9E3779B97F4A7C15
 
 
-def _orders() -> np.ndarray:
+def trees_for(percent: int) -> int:
+    """Independent trees that give the recall at the last level."""
+    met = min((percent / 100) ** LEVELS, RECALL)
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - met))
+
+
+def _orders(trees: int) -> np.ndarray:
     """Odd multipliers, one for each level of each tree."""
-    return _mix(np.arange(1, TREES * LEVELS + 1, dtype=np.uint64) * _U(_BASE)) | _U(1)
+    return _mix(np.arange(1, trees * LEVELS + 1, dtype=np.uint64) * _U(_BASE)) | _U(1)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,9 +112,9 @@ def _batches(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.Record
             yield batch.slice(a, b - a)
 
 
-def _sign(words: int):
+def _sign(words: int, trees: int):
     def sign(batches):
-        orders = _orders()
+        orders = _orders(trees)
         for whole in batches:
             for batch in _batches(whole):
                 sets = list(shingle_sets([t.as_buffer().to_pybytes() for t in batch.column("text").cast(pa.binary())], words))
@@ -291,10 +300,10 @@ def _prefix(level: int) -> Column:
     return F.xxhash64("tree", F.substring("path", 1, 4 * level))
 
 
-def nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def nodes(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
     """(node, id) of the nodes small enough to compare, and (node, first, parts, id) of those no level took apart."""
     paths = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: F.struct(t.alias("tree"), F.substring(F.col("tokens"), t * (4 * LEVELS) + 1, F.lit(4 * LEVELS)).alias("path")),
     )
     open_ = classes.select("id", F.explode(paths).alias("p")).select("id", "p.tree", "p.path")
@@ -327,16 +336,16 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, n_shingles, component_id) for each row: documents are linked if 100 * intersection is at least
     ``percent`` * union of their sets of ``words``-word shingles; a component is named by its smallest id."""
-    threshold = percent / 100
+    threshold, trees = percent / 100, trees_for(percent)
     texts = docs.select(F.col(id).cast("long").alias("id"), text_of(text).alias("text"))
-    signed = stored(texts.mapInArrow(_sign(words), "id long, n_shingles long, digest binary, tokens binary"), "signed")
+    signed = stored(texts.mapInArrow(_sign(words, trees), "id long, n_shingles long, digest binary, tokens binary"), "signed")
     classes = stored(
         signed.filter("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("id"), F.first("tokens").alias("tokens")),
         "classes")
     # One byte of each token.
-    low = F.concat(*[F.substring("tokens", 4 * i + 1, 1) for i in range(TREES * LEVELS)])
+    low = F.concat(*[F.substring("tokens", 4 * i + 1, 1) for i in range(trees * LEVELS)])
     sketches = stored(classes.select("id", low.alias("sketch")), "sketches")
-    small, large = nodes(classes)
+    small, large = nodes(classes, trees)
     large = stored(large, "large")
     # A block of a large node, with the node's first set in each.
     block = F.pmod(F.xxhash64("node", "id"), F.col("parts")).cast("int")

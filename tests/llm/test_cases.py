@@ -279,6 +279,12 @@ def test_near_duplicates_against_all_pairs(spark):
         assert (r.n_shingles, r.component_id) == (len(sets[r.id]), None if r.id is None else root[r.id])
 
 
+@pytest.mark.parametrize("percent", [70, 80, 85, 95, 100])
+def test_trees_give_the_recall_at_the_last_level(percent):
+    missed = (1 - (percent / 100) ** near_dup.LEVELS) ** near_dup.trees_for(percent)
+    assert missed <= 1 - near_dup.RECALL + 1e-9
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(frame(spark, ODD).limit(0)).count() == 0
     found = sorted(((r.id or 0), r.n_shingles, r.component_id) for r in near_dup.near_duplicates(frame(spark, ODD)).collect())
