@@ -43,7 +43,7 @@ KINDS = {
 }
 PATTERN = "|".join(KINDS.values())
 # Any match has one of these.
-NEEDED = "[0-9@=:]"
+NEEDED = "[0-9@=:]|AKIA|ASIA"
 ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
 YEARS_FROM, DAYS = "1800-01-01", (189, 773)
 
