@@ -7,9 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, grid_join, licenses, mixing, near_dup, pii, quality, top_k, url_filters
-from paceline.llm.sql import ORACLE
-from paceline.llm.tables import fixed_rows
+from paceline.llm import bpe, chat, grid_join, licenses, merkle, mixing, near_dup, pii, quality, top_k, url_filters
+from paceline.llm.sql import LOWER, ORACLE, UPPER
+from paceline.llm.tables import fixed_rows, stored
 
 Spark = SparkSession
 __all__ = ["ORACLE", "QUERIES"]
@@ -110,6 +110,18 @@ def op10_grid_join(spark: Spark, sf: str) -> DataFrame:
         F.col("id").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def op13_merkle(spark: Spark, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = {c: F.col(c) for c in docs.columns}
+    folded = merkle.leaf([*(fields | {"text": F.translate("text", UPPER, LOWER)}).values()])
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = stored(docs.select("doc_id", "lang", merkle.leaf([*fields.values()]).alias("leaf"), F.when(tampers, folded).alias("tampered")), "documents")
+    made = merkle.manifest(leaves, "lang", ["doc_id"])
+    proved = merkle.prove(made, made.rows).join(made.roots, "tree")
+    root = F.lit(made.root).cast("string")
+    return proved.select("doc_id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_top_k": op2_top_k,
@@ -121,5 +133,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_grid_join": op10_grid_join,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }

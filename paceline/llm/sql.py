@@ -110,6 +110,78 @@ SELECT r.id AS vec_id, (SELECT count(*) FROM links l WHERE l.a = r.id)::BIGINT A
 FROM roots r
 """
 
+# Unsigned crc32 of UTF-8 text, by a table of the 256 remainders.
+_CRC = """
+crc(t) AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, i))
+)"""
+
+
+def _crc32(hexed: str, table: str = "t") -> str:
+    """SQL for the crc32 of the bytes whose hex digits ``hexed`` is."""
+    byte = f"(16 * (strpos('0123456789ABCDEF', substr({hexed}, 2 * i + 1, 1)) - 1) + strpos('0123456789ABCDEF', substr({hexed}, 2 * i + 2, 1)) - 1)"
+    return (
+        f"xor(4294967295, list_reduce(list_transform(range(0, length({hexed}) // 2), lambda i: {byte}::BIGINT),"
+        f" lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"
+    )
+
+
+def _levels(name: str, base: str) -> str:
+    """All nodes of trees eight wide over ``base`` (tree, pos, hash, n)."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS level, pos, hash, n FROM {base}
+  UNION ALL SELECT tree, any_value(level) + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)), any_value((n + 7) // 8)
+  FROM {name} WHERE n > 1 GROUP BY tree, pos // 8
+)"""
+
+
+def _sides(name: str, nodes: str) -> str:
+    """Per node the digests of its run before and after it."""
+    inside = "PARTITION BY tree, level, pos // 8 ORDER BY pos ROWS BETWEEN"
+    return f"""
+{name} AS (
+  SELECT tree, level, pos, coalesce(string_agg(hash, '') OVER ({inside} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(hash, '') OVER ({inside} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {nodes} WHERE n > 1
+)"""
+
+
+def _leaf(text: str) -> str:
+    put = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    return f"sha256({' || '.join(map(put, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+MERKLE = f"""
+WITH RECURSIVE {_CRC},
+leaves AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("hex(encode(doc_id::VARCHAR))")} % 3 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS tampered
+  FROM documents, crc
+), placed AS (
+  SELECT doc_id, leaf, tampered, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+), base AS (SELECT tree, pos, leaf AS hash, n FROM placed), {_levels("nodes", "base")},
+subroots AS (SELECT tree, hash FROM nodes WHERE n = 1),
+above AS (SELECT -1 AS tree, tree AS pos, hash, count(*) OVER () AS n FROM subroots), {_levels("top", "above")},
+{_sides("sides", "nodes")}, {_sides("top_sides", "top")},
+folds AS (
+  SELECT doc_id, pos AS nth, tree, 0 AS level, pos, '' AS proof, coalesce(tampered, leaf) AS h FROM placed
+  UNION ALL SELECT doc_id, nth, tree, s.level + 1, pos // 8, proof || before || after, sha256(before || h || after)
+  FROM folds f JOIN sides s USING (tree, level, pos)
+), inner_folds AS (SELECT * FROM folds QUALIFY row_number() OVER (PARTITION BY tree, nth ORDER BY level DESC) = 1),
+top_folds AS (
+  SELECT tree, nth, 0 AS level, tree AS pos, proof, h FROM inner_folds
+  UNION ALL SELECT f.tree, nth, s.level + 1, f.pos // 8, proof || before || after, sha256(before || h || after)
+  FROM top_folds f JOIN top_sides s ON s.level = f.level AND s.pos = f.pos
+), proofs AS (SELECT * FROM top_folds QUALIFY row_number() OVER (PARTITION BY tree, nth ORDER BY level DESC) = 1),
+root AS (SELECT hash AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, s.hash AS subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM placed p JOIN proofs q ON q.tree = p.tree AND q.nth = p.pos JOIN subroots s ON s.tree = p.tree CROSS JOIN root
+"""
+
 ORACLE = {
     "op2_top_k": TOP_K,
     "op3_chat_format": CHAT,
@@ -117,4 +189,5 @@ ORACLE = {
     "op6_near_duplicates": NEAR_DUPLICATES,
     "op7_url_filter": URLS,
     "op10_grid_join": GRID_JOIN,
+    "op13_merkle": MERKLE,
 }
