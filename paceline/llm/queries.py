@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, grid_join, licenses, merkle, mixing, near_dup, pii, quality, top_k, url_filters
+from paceline.llm import bpe, chat, fingerprints, grid_join, licenses, merkle, mixing, near_dup, pii, quality, spelling, top_k, url_filters
 from paceline.llm.sql import LOWER, ORACLE, UPPER
 from paceline.llm.tables import fixed_rows, stored
 
@@ -110,6 +110,18 @@ def op10_grid_join(spark: Spark, sf: str) -> DataFrame:
         F.col("id").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def op11_spelling(spark: Spark, sf: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_read(spark, sf, "documents")))
+
+
+def op12_fingerprints(spark: Spark, sf: str) -> DataFrame:
+    found = fingerprints.with_next(_read(spark, sf, "documents"))
+    met = F.zip_with(fingerprints.bands(F.col("fingerprint")), fingerprints.bands(F.col("edited_fingerprint")), lambda a, b: a == b)
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        F.size(F.filter(met, lambda x: x)).alias("bands_met"))
+
+
 def op13_merkle(spark: Spark, sf: str) -> DataFrame:
     docs = _read(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     fields = {c: F.col(c) for c in docs.columns}
@@ -133,6 +145,8 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_grid_join": op10_grid_join,
+    "op11_spelling": op11_spelling,
+    "op12_fingerprints": op12_fingerprints,
     "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }

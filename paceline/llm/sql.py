@@ -182,6 +182,36 @@ SELECT doc_id, leaf, s.hash AS subroot, root, sha256(proof) AS proof_sha256, h A
 FROM placed p JOIN proofs q ON q.tree = p.tree AND q.nth = p.pos JOIN subroots s ON s.tree = p.tree CROSS JOIN root
 """
 
+SPELLING = f"""
+WITH RECURSIVE {_CRC},
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL
+), hexed AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+hashed AS (SELECT run, n, {_crc32("x")} AS h FROM hexed, crc),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), shorter AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+  SELECT word AS a, rest AS b FROM shorter WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM shorter WHERE rest IN (SELECT word FROM words)
+  UNION SELECT p.word, q.word FROM shorter p JOIN shorter q ON p.i = q.i AND p.rest = q.rest AND p.word <> q.word
+), told AS (
+  SELECT a, count(*) AS n_near, max(w.n) AS most, arg_min(b, (-w.n, b)) AS best FROM near JOIN words w ON w.word = b GROUP BY a
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 2 * n THEN best END AS form, CASE WHEN most >= 2 * n THEN most END AS form_n
+  FROM words LEFT JOIN told ON a = word
+), chain AS (
+  SELECT word, word AS root, form AS onward FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.onward
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM chain WHERE onward IS NULL) USING (word)
+"""
+
 ORACLE = {
     "op2_top_k": TOP_K,
     "op3_chat_format": CHAT,
@@ -189,5 +219,6 @@ ORACLE = {
     "op6_near_duplicates": NEAR_DUPLICATES,
     "op7_url_filter": URLS,
     "op10_grid_join": GRID_JOIN,
+    "op11_spelling": SPELLING,
     "op13_merkle": MERKLE,
 }
