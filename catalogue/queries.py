@@ -34,6 +34,7 @@ from paceline.session import shared_path
 from paceline.sources import files
 from paceline.streaming import jobs, measures
 from paceline.streaming.sinks import CSV, FileTarget, fan_out, to_files, to_target
+from paceline.streaming.state import StateTable, TotalsTarget
 
 Spark = SparkSession
 
@@ -360,6 +361,48 @@ def stream_restart(spark: Spark, sf: str) -> DataFrame:
     return read[0].union(read[1]).union(read[2])
 
 
+def _climbed_windows(spark: Spark, sf: str, root: str, parts: list, again: tuple[int, ...] = ()):
+    """Climbed windows as a stream writes them to a table, part by part; batches in ``again`` are written once
+    more, as after a crash between the table and the commit. Yields after each."""
+    target = FileTarget(f"{root}/climbs")
+    for part in parts:
+        arrived = fixtures.telemetry(spark, sf).select(*TELEMETRY.names).filter(part)
+        arrived.write.mode("append").parquet(f"{root}/arrived")
+        session = jobs.stream_session(spark, STATE_PARTITIONS)
+        stream = live.elevation_windows_live(session.readStream.schema(TELEMETRY).parquet(f"{root}/arrived"))
+        jobs.drain(to_target(live.as_table(stream, "value"), target, f"{root}/first"))
+        yield session
+    for number in again:
+        written = spark.read.parquet(f"{root}/climbs").filter(F.col("batch") == number).drop("batch")
+        files.write_table(written, f"{root}/kept-{number}")
+        target(spark.read.parquet(f"{root}/kept-{number}"), number)
+        yield jobs.stream_session(spark, STATE_PARTITIONS)
+
+
+def _climbs(session: Spark, root: str) -> DataFrame:
+    return live.once(session.readStream.schema(LIVE_TABLES["altitude_gain"]).parquet(f"{root}/climbs"))
+
+
+def stream_total_replayed(spark: Spark, sf: str) -> DataFrame:
+    """Totals of windows of which two batches are written again between runs: each window counts once."""
+    root = shared_path(spark, "replayed")
+    totals = StateTable(f"{root}/totals", LIVE_TABLES["elev_gain_total"], ("runner_id",), every=2)
+    quarters = _quarters(spark, sf)
+    halves = [quarters[0] | quarters[1], quarters[2] | quarters[3]]
+    for session in _climbed_windows(spark, sf, root, halves, again=(0, 1)):
+        jobs.drain(to_target(live.climb_totals(_climbs(session, root)), totals, f"{root}/second", "update"))
+    return totals.read(spark)
+
+
+def stream_total_per_insert(spark: Spark, sf: str) -> DataFrame:
+    """A total after each window, over four batches of windows."""
+    root = shared_path(spark, "per_insert")
+    target = TotalsTarget(f"{root}/totals", every=2)
+    for session in _climbed_windows(spark, sf, root, _quarters(spark, sf)):
+        jobs.drain(to_target(_climbs(session, root), target, f"{root}/second"))
+    return spark.read.parquet(f"{root}/totals/rows").select("runner_id", "time", "value")
+
+
 def chained_topics(spark: Spark, sf: str) -> DataFrame:
     """Speed to a topic log, and pace from the messages found there."""
     root = shared_path(spark, "chain")
@@ -522,6 +565,8 @@ QUERIES = {
     "stream_batches_elevation": stream_batches_elevation,
     "stream_late_rows": stream_late_rows,
     "stream_restart": stream_restart,
+    "stream_total_replayed": stream_total_replayed,
+    "stream_total_per_insert": stream_total_per_insert,
     "chained_topics": chained_topics,
     "topic_archive": topic_archive,
     "source_telemetry_files": source_telemetry_files,

@@ -381,6 +381,12 @@ ORACLE = {
     + "SELECT runner_id, max(time) AS time, round(sum(value), 4) AS value FROM climbs WHERE "
     + OUT.format(end="climbs.time", delay=5)
     + " GROUP BY runner_id",
+    "stream_total_replayed": _with(RUN, GAINS, CLIMBS)
+    + "SELECT runner_id, max(time) AS time, round(sum(value), 4) AS value FROM climbs WHERE "
+    + OUT.format(end="climbs.time", delay=5)
+    + " GROUP BY runner_id",
+    "stream_total_per_insert": TOTAL + "SELECT runner_id, time, round(value, 4) AS value FROM totals WHERE "
+    + OUT.format(end="totals.time", delay=5),
     "stream_finish_estimate": ESTIMATE,
     # In order of time no row is late, so batches change nothing in what comes out.
     "stream_batches_avg_speed": AVERAGE + " WHERE " + OUT.format(end="window_end", delay=1),

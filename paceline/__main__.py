@@ -30,7 +30,8 @@ from paceline.sources.jdbc import Database
 from paceline.sources.kafka import stream_kafka
 from paceline.streaming.jobs import archive, drain, run_forever, stream_session
 from paceline.streaming.measures import measures
-from paceline.streaming.sinks import FileTarget, fan_out, last_state, to_target
+from paceline.streaming.sinks import fan_out, to_target
+from paceline.streaming.state import StateTable, TotalsTarget
 
 RESULTS_TABLE = "results"
 TIME_TABLE = "running_time_constrained"
@@ -106,15 +107,22 @@ def topic_messages(spark: SparkSession, args: argparse.Namespace, topics: list[s
     return stream_topics(spark, args.log, topics, args.per_batch)
 
 
+def totals_table(path: str) -> StateTable:
+    return StateTable(path, LIVE_TABLES["elev_gain_total"], ("runner_id",))
+
+
 def total_stream(spark: SparkSession, args: argparse.Namespace):
-    climbs = spark.readStream.schema(LIVE_TABLES["altitude_gain"]).parquet(args.climbs)
-    return to_target(live.climb_totals(climbs), FileTarget(args.totals), args.checkpoint, "update")
+    """Climbed windows, each once however often the stream before wrote it: the last total per runner, or with
+    ``--per-row`` a total after each window."""
+    climbs = live.once(spark.readStream.schema(LIVE_TABLES["altitude_gain"]).parquet(args.climbs))
+    if args.per_row:
+        return to_target(climbs, TotalsTarget(args.totals), args.checkpoint)
+    return to_target(live.climb_totals(climbs), totals_table(args.totals), args.checkpoint, "update")
 
 
 def latest_value(spark: SparkSession, totals: str) -> str:
     """The latest total as a line of text."""
-    table = last_state(spark, totals, LIVE_TABLES["elev_gain_total"], ["runner_id"])
-    row = live.latest(table).first()
+    row = live.latest(totals_table(totals).read(spark)).first()
     return "no value yet" if row is None else f"{row.time:%Y-%m-%d %H:%M:%S} runner {row.runner_id}: {row.value} m"
 
 
@@ -170,6 +178,7 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("total")
     job.add_argument("climbs", help="folder of the altitude_gain table")
     job.add_argument("totals", help="folder for the totals")
+    job.add_argument("--per-row", action="store_true", help="a total after each window, not only the last")
     job.add_argument("checkpoint")
     stream(job)
     job = jobs.add_parser("latest")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paceline.functions.telemetry import climb, minutes_left, pace, speed_status, whole_second
-from paceline.operators.aggregates import exact_avg, exact_sum
+from paceline.operators.aggregates import exact_by
 from paceline.operators.ranking import repeat_rows
 from paceline.operators.running import running_total
 
@@ -37,11 +37,9 @@ def paces(speed: DataFrame) -> DataFrame:
 
 def average_speeds(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
     """Mean speed per runner and five-second window, to four decimals."""
-    return (
-        speed.withWatermark("time", delay)
-        .groupBy("runner_id", F.window("time", WINDOW))
-        .agg(F.round(exact_avg(F.col("speed")), 4).alias("avg_speed"))
-    )
+    keys = ["runner_id", F.window("time", WINDOW)]
+    means = exact_by(speed.withWatermark("time", delay), keys, F.col("speed"), "avg_speed")
+    return means.withColumn("avg_speed", F.round("avg_speed", 4))
 
 
 def topic_time() -> Column:
@@ -64,11 +62,10 @@ def comparisons(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
         "runner_id", "time", "speed", F.window("time", WINDOW).alias("window")
     )
     is_last = F.col("time") == topic_time()
-    windows = timed.groupBy("runner_id", "window").agg(
-        F.round(exact_avg(F.col("speed")), 4).alias("avg_speed"),
-        F.collect_list(F.when(is_last, F.struct("speed"))).alias("last"),
-    )
-    each = windows.select("runner_id", topic_time().alias("time"), "avg_speed", F.explode("last.speed").alias("speed"))
+    last = F.collect_list(F.when(is_last, F.struct("speed"))).alias("last")
+    windows = exact_by(timed, ["runner_id", "window"], F.col("speed"), "avg_speed", last)
+    each = windows.select(
+        "runner_id", topic_time().alias("time"), F.round("avg_speed", 4).alias("avg_speed"), F.explode("last.speed").alias("speed"))
     status = speed_status(F.col("speed"), F.col("avg_speed"))
     return each.select("runner_id", "time", status.alias("comparison"))
 
@@ -139,9 +136,8 @@ def altitude_gains_live(telemetry: DataFrame, delay: str = CLIMB_DELAY) -> DataF
 
 
 def _elevation(gains: DataFrame, gain: Column) -> DataFrame:
-    return gains.groupBy("runner_id", F.window("time", WINDOW)).agg(
-        F.round(exact_sum(gain), 4).alias("value")
-    )
+    sums = exact_by(gains, ["runner_id", F.window("time", WINDOW)], gain, "value", mean=False)
+    return sums.withColumn("value", F.round("value", 4))
 
 
 def elevation_windows(telemetry: DataFrame) -> DataFrame:
@@ -186,11 +182,24 @@ def total_climb(altitude_gain: DataFrame) -> DataFrame:
     return totals.select("runner_id", "time", F.col("total").alias("value"))
 
 
+# How long a repeated row of a live table may come after the first one.
+REPEAT_DELAY = "1 hour"
+
+
+def once(table: DataFrame, delay: str = REPEAT_DELAY) -> DataFrame:
+    """Rows of a live table as a stream, each runner and time once.
+
+    A batch of the stream before that is run again replaces its files by files of other names, which a stream
+    reading the table takes as new. Keys stay in the state for ``delay`` of event time; what comes later still
+    is behind the watermark, so it is left out as well.
+    """
+    return table.withWatermark("time", delay).dropDuplicatesWithinWatermark(["runner_id", "time"])
+
+
 def climb_totals(altitude_gain: DataFrame) -> DataFrame:
     """Metres climbed so far per runner, and when; one row each. Also for streams."""
-    return altitude_gain.groupBy("runner_id").agg(
-        F.max("time").alias("time"), F.round(exact_sum(F.col("value")), 4).alias("value")
-    )
+    sums = exact_by(altitude_gain, ["runner_id"], F.col("value"), "total", F.max("time").alias("time"), mean=False)
+    return sums.select("runner_id", "time", F.round("total", 4).alias("value"))
 
 
 def latest(table: DataFrame) -> DataFrame:

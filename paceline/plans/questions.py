@@ -15,7 +15,7 @@ from paceline.functions.bands import (
     in_known_band,
 )
 from paceline.functions.parsing import decade_start
-from paceline.operators.aggregates import exact_avg, exact_sum
+from paceline.operators.aggregates import exact_by
 from paceline.operators.ranking import top_dense_rank
 
 BAND = "distance_group_km"
@@ -49,12 +49,9 @@ def by_band(label: str = BAND) -> Column:
 
 def fastest_events(distance: DataFrame) -> DataFrame:
     """Events with the highest mean speed, top ten per band, of those with over ten finishers."""
-    events = (
-        distance.filter(long_enough() & moved())
-        .groupBy("year_of_event", "event_name", BAND, "distance_km")
-        .agg(F.count("*").alias("athlete_num"), exact_avg(speed()).alias(MEAN_SPEED))
-        .filter(F.col("athlete_num") > MIN_FINISHERS)
-    )
+    keys = ["year_of_event", "event_name", BAND, "distance_km"]
+    means = exact_by(distance.filter(long_enough() & moved()), keys, speed(), MEAN_SPEED, F.count("*").alias("athlete_num"))
+    events = means.filter(F.col("athlete_num") > MIN_FINISHERS)
     top = top_dense_rank(events, BAND, MEAN_SPEED, "rank", TOP)
     return top.orderBy(by_band(), "rank")
 
@@ -67,11 +64,8 @@ def athletes_per_band(distance: DataFrame) -> DataFrame:
 
 def speed_by_band_and_age(distance: DataFrame) -> DataFrame:
     """Count and mean speed per band and age group, of results with a positive speed."""
-    means = (
-        distance.filter(long_enough() & known_age() & (speed() > 0))
-        .groupBy(BAND, "age_group")
-        .agg(F.count("*").alias("athlete_num"), exact_avg(speed()).alias(MEAN_SPEED))
-    )
+    known = distance.filter(long_enough() & known_age() & (speed() > 0))
+    means = exact_by(known, [BAND, "age_group"], speed(), MEAN_SPEED, F.count("*").alias("athlete_num"))
     return means.orderBy(by_band(), by_band("age_group"))
 
 
@@ -88,11 +82,7 @@ def most_attended_events(distance: DataFrame) -> DataFrame:
 
 def fastest_countries(distance: DataFrame) -> DataFrame:
     """Countries with the highest mean speed, top ten per band."""
-    countries = (
-        distance.filter(long_enough() & moved())
-        .groupBy(BAND, "athlete_country")
-        .agg(exact_avg(speed()).alias(MEAN_SPEED))
-    )
+    countries = exact_by(distance.filter(long_enough() & moved()), [BAND, "athlete_country"], speed(), MEAN_SPEED)
     top = top_dense_rank(countries, BAND, MEAN_SPEED, "rank", TOP)
     return top.orderBy(by_band(), "rank")
 
@@ -120,16 +110,12 @@ def athletes_per_age_group(time: DataFrame, distance: DataFrame) -> DataFrame:
 
 def distance_per_decade(time: DataFrame) -> DataFrame:
     """Kilometres covered in time-limited events, per decade."""
-    return time.groupBy(decade_start(F.col("year_of_event")).alias("decade_start")).agg(
-        exact_sum(F.col("distance_crossed_km")).alias("total_distance")
-    )
+    decade = decade_start(F.col("year_of_event")).alias("decade_start")
+    return exact_by(time, [decade], F.col("distance_crossed_km"), "total_distance", mean=False)
 
 
 def speed_by_gender(distance: DataFrame) -> DataFrame:
     """Mean speed of women and men per band."""
-    means = (
-        distance.filter(long_enough() & moved() & F.col("athlete_gender").isin("F", "M"))
-        .groupBy(BAND, "athlete_gender")
-        .agg(exact_avg(speed()).alias(MEAN_SPEED))
-    )
+    either = distance.filter(long_enough() & moved() & F.col("athlete_gender").isin("F", "M"))
+    means = exact_by(either, [BAND, "athlete_gender"], speed(), MEAN_SPEED)
     return means.orderBy(by_band(), "athlete_gender")

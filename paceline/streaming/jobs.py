@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from paceline.session import prepare, shared_path
-from paceline.streaming.sinks import FileTarget, Target, last_state, to_files, to_target
+from paceline.streaming.sinks import Target, to_files, to_target
+from paceline.streaming.state import StateTable
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
@@ -51,9 +52,9 @@ def drain_to_target(
 
 def drain_last_state(spark: SparkSession, stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """The final state of a stream that gives the rows that changed each time."""
-    path = f"{shared_path(spark, name)}/table"
-    drain_to_target(spark, stream, FileTarget(path), name, mode="update")
-    return last_state(spark, path, stream.schema, keys)
+    table = StateTable(f"{shared_path(spark, name)}/table", stream.schema, tuple(keys))
+    drain_to_target(spark, stream, table, name, mode="update")
+    return table.read(spark)
 
 
 def archive(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

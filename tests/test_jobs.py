@@ -76,7 +76,6 @@ def test_jobs_in_a_row(spark, capsys):
 
 def test_latest_of_nothing(spark):
     path = shared_path(spark, "none")
-    spark.createDataFrame([], "runner_id long, time timestamp, value double, batch long").write.parquet(path)
     assert cli.latest_value(spark, path) == "no value yet"
 
 

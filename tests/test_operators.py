@@ -9,7 +9,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from paceline.operators.aggregates import exact_avg, exact_sum, recency_weighted_mean
+from paceline.operators.aggregates import exact_avg, exact_by, exact_sum, recency_weighted_mean
 from paceline.operators.joins import join_same
 from paceline.operators.ranking import repeat_rows, top_dense_rank
 from paceline.operators.running import running_total
@@ -89,6 +89,40 @@ def test_values_out_of_range_are_added_by_themselves(spark):
     assert tiny.filter("v < 1").agg(exact_sum(F.col("v"))).first()[0] == 1e-310
 
 
+GROUPS = {
+    "short": [random.Random(1).randint(-(10**14), 10**14) / 10**9 for _ in range(500)],
+    "long": [random.Random(2).uniform(-1e9, 1e9) for _ in range(500)],
+    "both": [0.1, 1 / 3, -2.5, 1e-14 / 3, 7e9 + 1 / 3, 999999.999999999] * 20,
+    "tiny": [1.2345e-15, 3e-16, -1e-310],
+    "huge": [1e25, 0.25, 1 / 3], "nan": [float("nan"), 1.0], "one": [-0.7], "none": [None], "zero": [0.0, None], "great": [999999.999] * 300,
+}
+
+
+def test_sums_by_group_are_those_of_the_decimals(spark):
+    rows = [(k, v, 1) for k, values in GROUPS.items() for v in values]
+    random.Random(3).shuffle(rows)
+    found = set()
+    for parts in (1, 6):
+        frame = spark.createDataFrame(rows, "k string, v double, _n int").repartition(parts)
+        means = {r.k: (r.m, r.n) for r in exact_by(frame.drop("_n"), ["k"], F.col("v"), "m", F.count("*").alias("n")).collect()}
+        sums = {r.k: r.s for r in exact_by(frame.drop("_n"), ["k"], F.col("v"), "s", mean=False).collect()}
+        whole = {r.k: (r.m, r.s) for r in frame.groupBy("k").agg(exact_avg(F.col("v")).alias("m"), exact_sum(F.col("v")).alias("s")).collect()}
+        for k, values in GROUPS.items():
+            assert means[k][1] == len(values)
+            known = [v for v in values if v is not None]
+            if k == "nan":
+                assert math.isnan(sums[k]) and math.isnan(means[k][0])
+            elif not known:
+                assert sums[k] is None and means[k][0] is None
+            elif k in ("huge", "tiny"):
+                assert (means[k][0], sums[k]) == pytest.approx(whole[k], rel=1e-15)
+            else:
+                total = sum(Fraction(repr(v)) for v in known)
+                assert sums[k] == float(total) == whole[k][1] and means[k][0] == float(total) / len(known) == whole[k][0]
+        found.add(tuple((k, repr(means[k]), repr(sums[k])) for k in sorted(GROUPS)))
+    assert len(found) == 1
+
+
 def test_running_total_keeps_small_and_strange_values(spark):
     rows = [(1, i, v) for i, v in enumerate([0.00004, 0.00004, None, math.inf])] + [(2, 0, None)]
     frame = spark.createDataFrame(rows, "k int, t int, v double").withColumn("t", F.timestamp_seconds("t"))
