@@ -27,14 +27,16 @@ from paceline.operators.clean import (
     normalise_names,
     time_limited,
     with_content_id,
+    with_dense_id,
 )
+from paceline.operators.distinct import distinct_bitmaps, distinct_counts, merged
 from paceline.plans import history, improvement, live, questions
 from paceline.schemas import LIVE_TABLES, RAW_HEADERS, TELEMETRY, TELEMETRY_FIELDS
 from paceline.session import shared_path
-from paceline.sources import files
+from paceline.sources import files, named
 from paceline.streaming import jobs, measures
 from paceline.streaming.sinks import CSV, FileTarget, fan_out, to_files, to_target
-from paceline.streaming.state import StateTable, TotalsTarget
+from paceline.streaming.state import StateTable, TotalsTarget, open_windows
 
 Spark = SparkSession
 
@@ -123,6 +125,29 @@ def row_id(spark: Spark, sf: str) -> DataFrame:
     return ids.agg(F.sum("n").alias("num_rows"), F.count("*").alias("num_ids"))
 
 
+def dense_row_id(spark: Spark, sf: str) -> DataFrame:
+    """Ids over many partitions: how many, how many distinct, the first and the last."""
+    path = shared_path(spark, "dense")
+    fixtures.distance_results(spark, sf).drop("id").repartition(16).write.parquet(path)
+    ids = with_dense_id(spark.read.parquet(path)).groupBy("id").agg(F.count("*").alias("n"))
+    return ids.agg(
+        F.sum("n").alias("num_rows"), F.count("*").alias("num_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+def source_bad_rows(spark: Spark, sf: str) -> DataFrame:
+    """A results file in which some rows have too few fields and some too many: good rows, and the text of others."""
+    path = shared_path(spark, "bad_rows")
+    raw = fixtures.race_results_raw(spark, sf)
+    line = lambda *more: F.concat_ws(",", *more)
+    fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in raw.columns]
+    text = F.when(F.col("athlete_gender") == "X", line(*fields[:5])).when(F.col("athlete_club").isNull(), line(*fields, F.lit("more")))
+    # With a separator that no row has, so that lines are written as they are.
+    raw.select(text.otherwise(line(*fields)).alias(",".join(RAW_HEADERS))).write.csv(path, header=True, sep="\x01")
+    good, bad = files.sort_out_results(spark, path, f"{path}-sorted")
+    together = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in good.columns])
+    return good.select(F.lit("good").alias("kind"), together.alias("line")).union(bad.select(F.lit("bad"), files.BAD))
+
+
 def source_results_csv(spark: Spark, sf: str) -> DataFrame:
     """The raw results through a CSV file, then cleaned."""
     path = shared_path(spark, "results_csv")
@@ -154,6 +179,33 @@ def _history(spark: Spark, sf: str) -> DataFrame:
     )
 
 
+def _bucketed(spark: Spark, sf: str, columns: list[str]) -> DataFrame:
+    """The distance-limited results in buckets of the athlete."""
+    path = shared_path(spark, "bucketed")
+    results = fixtures.distance_results(spark, sf).select(*columns)
+    return named.write_bucketed(results, f"results_{path[-32:]}", path, "athlete_id", 8)
+
+
+def weighted_history_bucketed(spark: Spark, sf: str) -> DataFrame:
+    """The runners' histories without a shuffle of the results."""
+    results = _bucketed(spark, sf, ["athlete_id", "distance_km", "year_of_event", "athlete_average_speed_kmph"])
+    return history.weighted_history(results, fixtures.RACE_KM, fixtures.REFERENCE_YEAR)
+
+
+def q9_bucketed(spark: Spark, sf: str) -> DataFrame:
+    columns = ["athlete_id", "distance_group_km", "distance_km", "event_dates", "athlete_average_speed_kmph"]
+    return improvement.most_improved(_bucketed(spark, sf, columns))
+
+
+def q6_incremental(spark: Spark, sf: str) -> DataFrame:
+    """Athletes per country: bitmaps of the time-limited results are stored, those of the others added to them."""
+    path = shared_path(spark, "bitmaps")
+    files.write_table(distinct_bitmaps(fixtures.time_results(spark, sf), "athlete_country", "athlete_id"), path)
+    more = distinct_bitmaps(fixtures.distance_results(spark, sf), "athlete_country", "athlete_id")
+    counts = distinct_counts(merged("athlete_country", files.read_table(spark, path), more), "athlete_country", "num_of_athletes")
+    return counts.withColumnRenamed("athlete_country", "country")
+
+
 # --- live measures in batch -------------------------------------------------------------------
 
 
@@ -208,6 +260,15 @@ def latest_total(spark: Spark, sf: str) -> DataFrame:
     return live.latest(live.climb_totals(elevation_5s(spark, sf)))
 
 
+def table_by_name(spark: Spark, sf: str) -> DataFrame:
+    """The latest total, of a table that is found by its name."""
+    path = shared_path(spark, "named")
+    files.write_table(live.climb_totals(elevation_5s(spark, sf)), path)
+    name = f"elev_gain_total_{path[-32:]}"
+    named.register(spark, name, path, LIVE_TABLES["elev_gain_total"])
+    return named.latest_named(spark, name)
+
+
 def latest_per_runner(spark: Spark, sf: str) -> DataFrame:
     return live.latest_per_runner(live.climb_totals(elevation_5s(spark, sf)))
 
@@ -340,6 +401,13 @@ def stream_late_rows(spark: Spark, sf: str) -> DataFrame:
     return _in_batches(spark, sf, "late", _average_rows, [at >= middle, at < middle])
 
 
+def stream_open_windows(spark: Spark, sf: str) -> DataFrame:
+    """Windows of mean speed that a stream still held when it was stopped."""
+    root = shared_path(spark, "open")
+    jobs.drain(to_files(_average_rows(_stream(spark, sf)), f"{root}/table", f"{root}/checkpoint"))
+    return open_windows(spark, f"{root}/checkpoint").select("runner_id", "time")
+
+
 def stream_restart(spark: Spark, sf: str) -> DataFrame:
     """A fan-out to three tables whose last target fails once: the batch is run again, rows are there once."""
     root = shared_path(spark, "restart")
@@ -528,6 +596,8 @@ QUERIES = {
     "speed_kmph": speed_kmph,
     "content_id": content_id,
     "row_id": row_id,
+    "dense_row_id": dense_row_id,
+    "source_bad_rows": source_bad_rows,
     "source_results_csv": source_results_csv,
     "q1_fastest_events": _of_distance(questions.fastest_events),
     "q2_athletes_per_band": _of_distance(questions.athletes_per_band),
@@ -540,6 +610,9 @@ QUERIES = {
     "q9_most_improved": _of_distance(improvement.most_improved),
     "q10_speed_by_gender": _of_distance(questions.speed_by_gender),
     "weighted_history": _history,
+    "weighted_history_bucketed": weighted_history_bucketed,
+    "q9_bucketed": q9_bucketed,
+    "q6_incremental": q6_incremental,
     "encode_telemetry": encode_telemetry,
     "decode_telemetry": decode_telemetry,
     "speed": speed,
@@ -550,6 +623,7 @@ QUERIES = {
     "elevation_5s": elevation_5s,
     "total_climb": total_climb,
     "latest_total": latest_total,
+    "table_by_name": table_by_name,
     "latest_per_runner": latest_per_runner,
     "finish_estimate": finish_estimate,
     "stream_speed": stream_speed,
@@ -564,6 +638,7 @@ QUERIES = {
     "stream_batches_compare": stream_batches_compare,
     "stream_batches_elevation": stream_batches_elevation,
     "stream_late_rows": stream_late_rows,
+    "stream_open_windows": stream_open_windows,
     "stream_restart": stream_restart,
     "stream_total_replayed": stream_total_replayed,
     "stream_total_per_insert": stream_total_per_insert,

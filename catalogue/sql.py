@@ -284,6 +284,10 @@ RAW_COLUMNS = [
 ]
 CONTENT = " || chr(31) || ".join(f"coalesce({c}, '\\N')" for c in RAW_COLUMNS)
 
+_FIELDS = [f"coalesce({c}, '')" for c in [*RAW_COLUMNS[:10], "'X'", *RAW_COLUMNS[10:]]]
+LINE = " || ',' || ".join(_FIELDS)
+SHORT_LINE = " || ',' || ".join(_FIELDS[:5])
+
 ORACLE = {
     "clean_time_limited": CLEAN_TIME,
     "clean_distance_limited": CLEAN_DISTANCE,
@@ -303,6 +307,11 @@ ORACLE = {
     ),
     "content_id": _with(RAW) + f"SELECT md5({CONTENT}) AS content_id FROM raw",
     "row_id": _with(RAW, DIST) + "SELECT count(*) AS num_rows, count(*) AS num_ids FROM dist",
+    "dense_row_id": _with(RAW, DIST)
+    + "SELECT count(*) AS num_rows, count(*) AS num_ids, CAST(0 AS BIGINT) AS first_id, count(*) - 1 AS last_id FROM dist",
+    "source_bad_rows": _with(RAW)
+    + f"""SELECT CASE WHEN athlete_gender = 'X' OR athlete_club IS NULL THEN 'bad' ELSE 'good' END AS kind,
+      CASE WHEN athlete_gender = 'X' THEN {SHORT_LINE} WHEN athlete_club IS NULL THEN {LINE} || ',more' ELSE {LINE} END AS line FROM raw""",
     "source_results_csv": CLEAN_DISTANCE,
     "q1_fastest_events": _with(RAW, DIST)
     + f"""SELECT * FROM (
@@ -357,6 +366,7 @@ ORACLE = {
       FROM dist WHERE distance_group_km != '0-40' AND {MOVED} AND athlete_gender IN ('F', 'M')
       GROUP BY distance_group_km, athlete_gender""",
     "weighted_history": _with(RAW, DIST, HISTORY) + "SELECT * FROM history",
+    "weighted_history_bucketed": _with(RAW, DIST, HISTORY) + "SELECT * FROM history",
     "encode_telemetry": _with(RUN)
     + f"SELECT CAST(runner_id AS VARCHAR) AS key, {messages()} AS value FROM run",
     "decode_telemetry": TELEMETRY,
@@ -368,6 +378,7 @@ ORACLE = {
     "elevation_5s": CLIMB,
     "total_climb": TOTAL + "SELECT * FROM totals",
     "latest_total": TOTAL + "SELECT * FROM totals ORDER BY time DESC, runner_id LIMIT 1",
+    "table_by_name": TOTAL + "SELECT runner_id, time, round(value, 4) AS value FROM totals ORDER BY time DESC, runner_id LIMIT 1",
     "latest_per_runner": TOTAL
     + "SELECT runner_id, max(time) AS time, arg_max(value, time) AS value FROM totals GROUP BY runner_id",
     "finish_estimate": ESTIMATE,
@@ -396,6 +407,9 @@ ORACLE = {
     "stream_late_rows": AVERAGE
     + " WHERE " + OUT.format(end="window_end", delay=1)
     + " AND epoch(window_end) > (SELECT (epoch(min(time))::BIGINT + epoch(max(time))::BIGINT) // 2 // 5 * 5 FROM run)",
+    "stream_open_windows": AVERAGE.replace("SELECT runner_id, window_end - INTERVAL '1 second' AS topic_time, window_end AS time, avg_speed",
+                                           "SELECT runner_id, window_end AS time")
+    + " WHERE NOT " + OUT.format(end="window_end", delay=1),
     "stream_restart": _with(RUN)
     + "SELECT runner_id, time, speed, target FROM run, (VALUES ('one'), ('two'), ('three')) AS t(target)",
     "chained_topics": _with(RUN, PACES)
@@ -424,3 +438,5 @@ ORACLE = {
         {TEXT_TIME} || ',' || CAST(pace AS VARCHAR) AS value
       FROM paces, (VALUES ('topic'), ('table'), ('csv')) AS t(target)""",
 }
+ORACLE["q6_incremental"] = ORACLE["q6_athletes_per_country"]
+ORACLE["q9_bucketed"] = ORACLE["q9_most_improved"]

@@ -20,7 +20,7 @@ from paceline.operators.clean import (
     both_limits,
     conform,
     normalise_names,
-    with_row_id,
+    with_dense_id,
 )
 from paceline.plans import history, improvement, live, questions
 from paceline.schemas import DISTANCE_LIMITED, LIVE_TABLES, RESULTS, TIME_LIMITED
@@ -53,9 +53,9 @@ QUESTIONS = {
 
 
 def clean(spark: SparkSession, source: str, tables: str) -> None:
-    """Both tables in one pass over the file, apart by a partition for each kind."""
+    """Both tables in one file, apart by a partition for each kind; the file is read once to count and once to clean."""
     raw = normalise_names(read_results(spark, source))
-    write_table(conform(with_row_id(both_limits(raw)), RESULTS), f"{tables}/{RESULTS_TABLE}", partition_by="kind")
+    write_table(conform(with_dense_id(both_limits(raw)), RESULTS), f"{tables}/{RESULTS_TABLE}", partition_by="kind")
 
 
 def cleaned(spark: SparkSession, tables: str, kind: str) -> DataFrame:
@@ -65,9 +65,11 @@ def cleaned(spark: SparkSession, tables: str, kind: str) -> DataFrame:
 
 
 def export(spark: SparkSession, tables: str, database: Database, connections: int) -> None:
-    """Both tables to a database, in place of what is there."""
+    """Both tables to a database, in place of what is there, each with ids of its own from 0 on, by which it can be
+    read in even ranges."""
     for kind, name in (("time", TIME_TABLE), ("distance", DISTANCE_TABLE)):
-        database.overwrite(cleaned(spark, tables, kind), name, connections)
+        rows = with_dense_id(cleaned(spark, tables, kind).drop("id"))
+        database.overwrite(conform(rows, TIME_LIMITED if kind == "time" else DISTANCE_LIMITED), name, connections)
 
 
 def ask(spark: SparkSession, tables: str, number: int) -> DataFrame:

@@ -114,11 +114,35 @@ def both_limits(raw: DataFrame) -> DataFrame:
     ).drop("_length", "_performance", "_speed")
 
 
+# Bits of monotonically_increasing_id() that number the rows of a partition; the others are the partition's.
+_PART_BITS = 33
+
+
 def with_row_id(df: DataFrame) -> DataFrame:
     """Add ``id``, unique over the table but not the same in the next run."""
     return df.withColumn("id", F.monotonically_increasing_id())
 
 
+def with_dense_id(df: DataFrame, name: str = "id") -> DataFrame:
+    """Add ids 0 to n - 1, in ranges of which rows are spread evenly.
+
+    Partitions count their rows first; a row's id is its number within its partition after the rows of the
+    partitions before. So there is one number per partition on the driver and no window over the rows. ``df`` must
+    fall into the same partitions when it is read again, as files do; store what comes from a shuffle.
+    """
+    marked = df.withColumn("_at", F.monotonically_increasing_id())
+    part = F.shiftright("_at", _PART_BITS)
+    counts = sorted((r["part"], r["count"]) for r in marked.groupBy(part.alias("part")).count().collect())
+    starts, total = [], 0
+    for number, count in counts:
+        starts.append((number, total))
+        total += count
+    offsets = df.sparkSession.createDataFrame(starts, "_part long, _start long")
+    own = F.col("_at").bitwiseAND((1 << _PART_BITS) - 1)
+    placed = marked.join(F.broadcast(offsets), part == F.col("_part"))
+    return placed.withColumn(name, F.col("_start") + own).drop("_at", "_part", "_start")
+
+
 def with_content_id(df: DataFrame) -> DataFrame:
     """Add ``content_id``, the same in every run; rows that are copies share it.
 

@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paceline.operators.aggregates import exact_parts, put_together
+from paceline.operators.joins import join_same
 
 
 def running_total(
@@ -35,4 +36,4 @@ def running_total(
 
     total = F.coalesce(put_together(both(0), both(1), both(2)), F.lit(0.0))
     helpers = [f"_{name}{i}" for name in ("within", "before") for i in range(3)]
-    return running.join(offsets, [key, "_span"]).withColumn(out, total).drop("_span", *helpers)
+    return join_same(running, offsets, [key, "_span"]).withColumn(out, total).drop("_span", *helpers)

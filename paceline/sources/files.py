@@ -15,6 +15,22 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_FILE).csv(path, header=True, enforceSchema=False)
 
 
+BAD = "bad_row"
+
+
+def sort_out_results(spark: SparkSession, source: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """Raw results, and apart from them the text of rows that do not fit: with too few or too many fields.
+
+    ``read_results`` fills up the one and cuts the other. Here the file is parsed once and stored in ``target``,
+    with a folder for each kind; the bad rows stay there to be mended.
+    """
+    schema = T.StructType([*RAW_FILE.fields, T.StructField(BAD, T.StringType())])
+    rows = spark.read.schema(schema).csv(source, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD)
+    write_table(rows.withColumn("fits", F.col(BAD).isNull()), target, partition_by="fits")
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("fits", T.BooleanType())])).parquet(target)
+    return stored.filter("fits").drop(BAD, "fits"), stored.filter("not fits").select(BAD)
+
+
 def _as_message(rows: DataFrame, runner: Column) -> DataFrame:
     fields = [F.coalesce(F.col(f), F.lit("")) for f in TELEMETRY_FIELDS]
     return rows.select(

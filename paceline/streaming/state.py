@@ -124,3 +124,12 @@ class TotalsTarget:
             FileTarget(f"{self.path}/rows")(rows, number)
         finally:
             rows.unpersist()
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Windows that a stopped stream still holds in its first stateful operator: runner, start and end.
+
+    Read from its checkpoint; nothing is started.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.runner_id", F.col("key.window.start").alias("start"), F.col("key.window.end").alias("time"))
