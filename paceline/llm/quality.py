@@ -8,15 +8,19 @@ text's probability is the mean over its chunks, whatever its length.
 A filter is a table of weights per byte and place, so running it is looking up and adding; places are
 taken in twos, by tables over pairs of bytes. Training is gradient descent (Adam) written out: through the maximum
 only the place that won learns. It sees at most ``SAMPLE`` labelled texts of each class, the ones with the smallest
-hashes of their ids, and at most ``WINDOWS`` windows of each; that is all the driver ever holds.
+hashes of their ids, each whole, in windows of ``CHUNK`` bytes end to end; that is all the driver ever holds.
+Windows of a text share the weight of that text.
 
 Defined cases: a null text is empty, an empty text is one chunk of nothing and gets the score of that; with
 labels of one class only, the score is that class's share by add-one counting; null ids are scored and never
-learned from; several labels of one id count as the highest; extra columns pass untouched.
+learned from; several labels of one id count as the highest; rows that repeat are scored each, and of texts that share an id
+the smallest is learned from; an empty table has no scores; extra columns pass untouched, but for one with the
+name of the score, which is replaced.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -31,8 +35,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from paceline.llm.tables import text_of
 
 CHUNK, WIDTH, FILTERS, HIDDEN = 512, 4, 20, 16
-SAMPLE, WINDOWS = 1500, 3
-EPOCHS, BATCH, RATE = 6, 64, 0.01
+SAMPLE = 1500
+EPOCHS, BATCH, RATE = 3, 64, 0.01
 # Few windows are gone over more often, until there were this many steps.
 STEPS = 800
 THRESHOLD = 0.7
@@ -59,8 +63,9 @@ class Network:
         return seen, hidden, 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def train(windows: Sequence[bytes], labels: Sequence[int], seed: int = 0) -> Network:
-    """A network that tells windows of label 1 from those of label 0."""
+def train(windows: Sequence[bytes], labels: Sequence[int], seed: int = 0, shares: Sequence[float] | None = None) -> Network:
+    """A network that tells windows, of at most ``CHUNK`` bytes, of label 1 from those of label 0; ``shares`` are
+    the windows' weights."""
     rng = np.random.default_rng(seed)
     net = Network(
         rng.normal(0, 0.1, (WIDTH, 256, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.3, (FILTERS + 1, HIDDEN)),
@@ -68,12 +73,14 @@ def train(windows: Sequence[bytes], labels: Sequence[int], seed: int = 0) -> Net
     )
     raw = np.zeros((len(windows), CHUNK + WIDTH - 1), np.uint8)
     for i, w in enumerate(windows):
-        raw[i, : min(len(w), CHUNK)] = np.frombuffer(w[:CHUNK], np.uint8)
-    full = np.array([min(len(w), CHUNK) / CHUNK for w in windows])
+        raw[i, : len(w)] = np.frombuffer(w, np.uint8)
+    full = np.array([len(w) / CHUNK for w in windows])
     target = np.array(labels, np.float64)
     # Both classes weigh the same.
-    share = max(target.mean(), 1e-9)
-    weight = np.where(target == 1, 0.5 / share, 0.5 / max(1 - share, 1e-9))
+    weight = np.ones(len(windows)) if shares is None else np.array(shares, np.float64)
+    weight = weight / max(weight.mean(), 1e-9)
+    share = max((target * weight).mean(), 1e-9)
+    weight = weight * np.where(target == 1, 0.5 / share, 0.5 / max(1 - share, 1e-9))
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parts()]
     step = 0
     epochs = max(EPOCHS, -(-STEPS // max(1, -(-len(windows) // BATCH))))
@@ -174,21 +181,27 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     # At most 2 * sample short rows.
     texts = docs.select(F.col(id).alias("_doc"), text_of(text).alias("_text"))
     some = texts.join(F.broadcast(chosen[0].union(chosen[1])), F.col("_doc") == F.col("_id"))
-    whole = F.col("_text")
-    # Windows at hashed places, the whole of a short text once.
-    many = F.when(F.length(whole) > CHUNK, WINDOWS).otherwise(1)
-    place = F.pmod(F.xxhash64(F.col("_id"), F.col("_i")), F.greatest(F.length(whole) - CHUNK, F.lit(0)) + 1) + 1
-    windows = some.withColumn("_i", F.explode(F.sequence(F.lit(1), many))).select(
-        "_id", "_i", "_label", F.substring(whole, place.cast("int"), F.lit(CHUNK)).alias("w"))
-    rows = sorted(tuple(r) for r in windows.groupBy("_id", "_i", "_label").agg(F.min("w")).collect())
-    marks = [r[2] for r in rows]
+    rows = sorted(tuple(r) for r in some.groupBy("_id", "_label").agg(F.min("_text")).collect())
+    marks = [r[1] for r in rows]
     if len(set(marks)) < 2:
         return (sum(marks) + 1) / (len(marks) + 2)
-    return train(*with_short([r[3].encode() for r in rows], marks))
+    windows, of = [], []
+    for i, row in enumerate(rows):
+        whole = row[2].encode()
+        cut = [whole[at : at + CHUNK] for at in range(0, max(len(whole), 1), CHUNK)]
+        windows += cut
+        of += [i] * len(cut)
+    counts = np.bincount(of)
+    # A short cut of one window of each text, with the weight of a whole text.
+    first = np.cumsum(counts) - counts
+    picked = [windows[at + zlib.crc32(str(row[0]).encode()) % n] for at, n, row in zip(first.tolist(), counts.tolist(), rows)]
+    cuts = with_short(picked, marks)[0][len(picked) :]
+    return train([*windows, *cuts], [*(marks[i] for i in of), *marks], shares=[*(1 / counts[of]), *np.ones(len(cuts))])
 
 
 def score(docs: DataFrame, model: Network | float, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1 for each whole text."""
+    docs = docs.drop(name)
     if isinstance(model, float):
         return docs.withColumn(name, F.lit(model))
     shared = docs.sparkSession.sparkContext.broadcast(model)
