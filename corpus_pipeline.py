@@ -5,13 +5,13 @@ Each stage takes (session, documents, folder of tables) and returns the document
 ``documents``; the last one returns ids. ``run`` writes each stage's result to the shared folder and
 reads it again, so a lost executor never reaches back beyond one stage.
 
-Empty tables pass through all stages; rows without an id are never near-copies of anything and stay.
+Empty tables pass through all stages. Ids may be missing or repeated: rows are told apart by their place and content.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceline.llm import bpe, mixing, near_dup, pii, quality
@@ -31,11 +31,25 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: shingles of five words, a similarity of 0.8 or more."""
+    """One row of each group of near copies: shingles of five words, a similarity of 0.8 or more.
+
+    Rows are compared by their texts, whatever their ids: a repeated or missing id links nothing and saves nothing.
+    Of a group the row with the smallest id stays (rows without one come last), of several with that id the first
+    in the order of the files. Texts without words are like nothing else and stay.
+    """
     prepare(spark)
-    found = near_dup.near_duplicates(docs, words=5, percent=80)
-    gone = found.filter("id is not null and id <> component_id").select("id").distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("id"), "left_anti")
+    # ``docs`` are files, so a row has the same number each time it is read.
+    row = fresh(docs, "row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = near_dup.near_duplicates(numbered, words=5, percent=80, id=row)
+    of = stored(found.select("id", "component_id"), "copies")
+    groups = of.filter("id <> component_id").select(F.col("component_id").alias("group")).distinct()
+    members = of.join(groups, F.col("component_id") == F.col("group"), "left_semi")
+    ids = numbered.select(F.col(row).alias("at"), F.col("doc_id").alias("doc"))
+    ranked = members.join(ids, F.col("id") == F.col("at"))
+    stays = ranked.groupBy("component_id").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "id")).alias("best")).select(F.col("best.id").alias("kept"))
+    gone = members.join(stays, F.col("id") == F.col("kept"), "left_anti").select(F.col("id").alias(fresh(numbered, "gone")))
+    return numbered.join(gone, F.col(row) == F.col(gone.columns[0]), "left_anti").select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,20 +60,22 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: once for each pass over a source that takes at least half of
-    a document's words (only the last document of a source is ever taken in part)."""
+    a document's words (only the last document of a source is ever taken in part). All columns come back as they were."""
     prepare(spark)
-    # Rows alike in id, source and text have one key; as many of them come back as the mix takes.
-    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("source", F.lit("\0")), F.sha2(text_of("text"), 256)]
-    key = fresh(docs, "key")
+    # Rows alike in all columns have one key; as many of them come back as the mix takes.
+    null = F.lit("\0")
+    parts = [F.md5(F.coalesce(F.col(f"`{c}`").cast("string"), null)) for c in docs.columns]
+    key, of, many = (fresh(docs, name) for name in ("key", "key_of", "many"))
     named = docs.withColumn(key, F.concat_ws("|", *parts))
     placed, pieces = mixing.mix(named.select(F.col(key).alias("key"), "source", "text"), keep=["key"])
     passes = pieces.groupBy("place", "start", "size", "copy").agg(F.sum("words").alias("words")).filter("words * 2 >= size")
-    many = passes.join(placed.select("place", "start", "size", F.col("key").alias("_key")), ["place", "start", "size"]).groupBy("_key").agg(
-        F.count("*").cast("int").alias("_many"))
-    one = fresh(named, "one")
-    single = named.withColumn(one, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))).filter(F.col(one) == 1)
-    taken = single.join(many, F.col(key) == F.col("_key")).withColumn("_many", F.explode(F.sequence(F.lit(1), F.col("_many"))))
-    return taken.select(*docs.columns)
+    taken = passes.join(placed.select("place", "start", "size", "key"), ["place", "start", "size"]).groupBy("key").agg(F.count("*").alias("n"))
+    # Texts without words have nothing to mix and stay as they are.
+    wordless = placed.filter("size = 0").groupBy("key").agg(F.count("*").alias("n"))
+    times = taken.union(wordless).select(F.col("key").alias(of), F.col("n").cast("int").alias(many))
+    single = named.groupBy(key).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("doc"))
+    chosen = single.join(times, F.col(key) == F.col(of)).withColumn(many, F.explode(F.sequence(F.lit(1), F.col(many))))
+    return chosen.select("doc.*")
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
