@@ -298,3 +298,80 @@ def test_manifest_of_nothing_and_of_one(spark):
 def test_fields_of_a_leaf(spark):
     table = spark.createDataFrame([(1, None, "é", "")], "a long, b string, c string, d string")
     assert table.select(merkle.leaf([F.col(c) for c in "abcd"])).first()[0] == digest("1:1-2:é0:")
+
+
+# --- the pipeline's stages on odd rows ----------------------------------------------------------------
+
+NAMES = "doc_id long, text string, lang string, source string, n_chars long, id int, row string, many int, key int, size int"
+
+
+def rows_of(spark, rows):
+    """Documents as files, as each stage reads them; with columns whose names the stages use inside."""
+    from paceline.session import shared_path
+
+    path = shared_path(spark, "odd")
+    whole = [(i, t, "en", s, None if t is None else len(t), 1, extra, 3, 4, 5) for i, t, s, extra in rows]
+    spark.createDataFrame(whole, NAMES).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+COPY = "one two three four five six seven eight nine ten"
+ODD_ROWS = [
+    (1, COPY, "a", "x"), (1, COPY, "a", "y"), (3, COPY, "b", "x"), (3, "a text like nothing else that is here at all", "b", "x"),
+    (None, COPY, "a", "x"), (None, "this text has no number of its own in here", "a", None), (7, None, "a", "x"), (8, "", None, "x"),
+    (9, " \n", "a", "x"), (10, "lorem ipsum dolor " * 40_000, "b", "x"), (11, "short text", "a", "x"), (11, "short text", "a", "x"),
+]
+
+
+def test_near_copies_go_by_rows(spark):
+    import corpus_pipeline
+
+    docs = rows_of(spark, ODD_ROWS)
+    found = corpus_pipeline.without_near_copies(prepare(spark), docs, SF)
+    assert found.columns == docs.columns
+    told = sorted((r.doc_id or 0, r.text or "") for r in found.collect())
+    # Of the four copies one with id 1 stays; a row of id 3 that is like nothing else stays too.
+    expected = [(1, COPY), (3, ODD_ROWS[3][1]), (0, ODD_ROWS[5][1]), (7, ""), (8, ""), (9, " \n"), (10, ODD_ROWS[9][1]), (11, "short text")]
+    assert told == sorted(expected)
+    assert corpus_pipeline.without_near_copies(spark, rows_of(spark, []), SF).count() == 0
+
+
+def test_the_mix_keeps_columns_and_texts_without_words(spark):
+    import corpus_pipeline
+
+    docs = rows_of(spark, ODD_ROWS + [(20 + i, f"w{i} " * 50, "abc"[i % 3], str(i)) for i in range(60)])
+    found = corpus_pipeline.mixed(prepare(spark), docs, SF)
+    assert found.columns == docs.columns
+    rows = [tuple(r) for r in found.collect()]
+    there = {tuple(r) for r in docs.collect()}
+    assert set(rows) <= there
+    assert sorted(r[0] for r in rows if not (r[1] or "").strip()) == [7, 8, 9]
+    # Rows that differ in one column only are rows of their own.
+    assert {r[6] for r in rows if r[0] == 1} == {"x", "y"}
+    again = [tuple(r) for r in corpus_pipeline.mixed(spark, docs, SF).collect()]
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    assert corpus_pipeline.mixed(spark, rows_of(spark, []), SF).count() == 0
+
+
+def test_all_stages_take_odd_rows(spark):
+    import corpus_pipeline
+
+    docs = rows_of(spark, ODD_ROWS)
+    for _, stage in corpus_pipeline.STAGES:
+        found = stage(prepare(spark), docs, SF)
+        assert len(found.columns) == len(set(found.columns)) and found.count() <= 4 * len(ODD_ROWS)
+        assert stage(spark, rows_of(spark, []), SF).count() == 0
+
+
+def test_training_sees_whole_texts(spark):
+    """Only the end of a long text in another script tells its label."""
+    rows = [(i, "ж" * 2000 + ("да" if i % 2 else "нет") * 60) for i in range(120)]
+    docs = spark.createDataFrame([(i, t, 9.0) for i, t in rows], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    from paceline.llm import quality
+
+    found = quality.score(docs, quality.learn(docs, labels))
+    assert found.columns == ["doc_id", "text", "score"]
+    scores = {r.doc_id: r.score for r in found.collect()}
+    low, high = (np.mean([s for i, s in scores.items() if i % 2 == side]) for side in (0, 1))
+    assert high > low + 0.02
