@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows of a block: some megabytes at a few hundred terms a row.
-QUERY_ROWS, CANDIDATE_ROWS = 512, 8192
+QUERY_ROWS, CANDIDATE_ROWS = 8192, 8192
 # Cells of scores held at once.
 SCORES = 1 << 20
 
