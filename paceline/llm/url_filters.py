@@ -7,7 +7,7 @@ expressions. Only expressions as deep as some rule are made, so a URL of thousan
 slashes costs no more than the rules' own depths. An equi-join on the first 32 bits of the expression's
 digest finds candidates; the full digest, the rest of the path and the precedence confirm them.
 
-Defined cases: a null URL, or one without ``://``, has an empty host and path and meets no rule; no rule
+Defined cases: a rule without a host is an error, as it would fit nothing; no pages give no rows; a null URL, or one without ``://``, has an empty host and path and meets no rule; no rule
 at all gives the default verdict; repeated rows each get their own result; other columns are left out.
 """
 
@@ -75,6 +75,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
 
     ``rules`` has host, path and action (``allow`` or ``block``).
     """
+    if rules.filter(text_of("host") == "").head(1):
+        raise ValueError("a rule has no host")
     table = rule_table(rules)
     # Pairs of two small numbers: there are few, however many rules.
     depths = [tuple(r) for r in table.select("labels", "slashes").distinct().collect()]
