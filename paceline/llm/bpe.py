@@ -26,6 +26,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,7 +182,13 @@ def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: Sequence[str] = ("doc_id",),
     ids: str = "ids", chunk: int = CHUNK,
 ) -> DataFrame:
-    """``keep`` and ``ids``: the ids of each text as little-endian unsigned 32-bit numbers."""
+    """``keep`` and ``ids``: the ids of each text as little-endian unsigned 32-bit numbers.
+
+    ``docs`` should be a stored table: words are numbered in the order of its rows, so a task that is run again
+    must read the same rows. The one ``pattern`` there is stands written out in ``pretokens``; another is an error.
+    """
+    if pattern != PATTERN:
+        raise ValueError("only public_tokenizers.PATTERN is split by")
     spark = docs.sparkSession
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(text_of(text).alias("t"), *[F.col(k).alias(n) for k, n in zip(keep, names)])
@@ -199,7 +206,8 @@ def encode(
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that ``ids`` stand for."""
+    """``df`` with the bytes that ``ids`` stand for; a column of the name ``decoded`` is replaced."""
+    df = df.drop(decoded)
     tokens = sorted(ranks, key=ranks.get)
     size = max(ranks.values(), default=-1) + 1
     lengths = np.zeros(size + 1, np.int64)
