@@ -375,3 +375,24 @@ def test_training_sees_whole_texts(spark):
     scores = {r.doc_id: r.score for r in found.collect()}
     low, high = (np.mean([s for i, s in scores.items() if i % 2 == side]) for side in (0, 1))
     assert high > low + 0.02
+
+
+# --- refusals and names of earlier operators ------------------------------------------------------------
+
+
+def test_what_cannot_work_is_refused(spark):
+    from public_tokenizers import PATTERN
+
+    from paceline.llm import bpe, url_filters
+    from paceline.llm.tables import fixed_rows
+
+    pages = spark.createDataFrame([("http://x/",)], "url string")
+    for host in ("", None):
+        with pytest.raises(ValueError, match="host"):
+            url_filters.judge(pages, fixed_rows(spark, ["host", "path", "action"], [("com", "/", "allow"), (host, "/x", "block")]))
+    docs = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="PATTERN"):
+        bpe.encode(docs, {b"a": 0, b"b": 1}, r"\w+")
+    ids = bpe.encode(docs, {b"a": 0, b"b": 1}, PATTERN).withColumn("decoded", F.lit("old"))
+    found = bpe.decode(ids, {b"a": 0, b"b": 1})
+    assert found.columns == ["doc_id", "ids", "decoded"] and bytes(found.first().decoded) == b"ab"
