@@ -20,10 +20,11 @@ one node (their links are put together) and each gets its row; an empty table gi
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm.components import components
@@ -207,9 +208,15 @@ def near_vectors(
         "id long, group long, size int, copies long, vector array<double>, place array<double>, cells array<int>")
     ordered = placed.repartitionByRange("group", "size", "cells", "id").sortWithinPartitions("group", "size", "cells", "id")
     cut = stored(ordered.select("id", "group", "size", "copies", "vector", "place").mapInArrow(_cut(leaf), LEAVES_SQL), "leaves")
-    # Numbers without gaps: one short row per leaf.
-    numbers = cut.select("number").withColumn("leaf", F.row_number().over(Window.orderBy("number")) - 1)
-    leaves = stored(cut.join(numbers.select("number", F.col("leaf").cast("long")), "number").drop("number"), "numbered")
+    # Numbers without gaps: a leaf's own in its partition, after the leaves of the partitions before. The driver
+    # holds one count per partition.
+    part = F.shiftright("number", 32)
+    counts = sorted((r["part"], r["count"]) for r in cut.groupBy(part.alias("part")).count().collect())
+    starts = [0, *accumulate(n for _, n in counts)]
+    offsets = table.sparkSession.createDataFrame([(p, start) for (p, _), start in zip(counts, starts)], "part long, begin long")
+    leaves = stored(
+        cut.join(F.broadcast(offsets), part == F.col("part")).withColumn("leaf", F.col("begin") + F.col("number").bitwiseAND(2**32 - 1))
+        .drop("number", "part", "begin"), "numbered")
     pairs = interval_pairs(leaves.select("group", "size", "leaf", "lo", "hi"), leaves.count(), eps)
     data = leaves.select("leaf", "group", "size", "ids", "copies", "vectors")
     left = pairs.join(data, F.col("a") == F.col("leaf"))
