@@ -36,7 +36,7 @@ from paceline.session import shared_path
 from paceline.sources import files, named
 from paceline.streaming import jobs, measures
 from paceline.streaming.sinks import CSV, FileTarget, fan_out, to_files, to_target
-from paceline.streaming.state import StateTable, TotalsTarget, open_windows
+from paceline.streaming.state import StateTable, TotalsTarget, late_counts, open_windows
 
 Spark = SparkSession
 
@@ -401,6 +401,23 @@ def stream_late_rows(spark: Spark, sf: str) -> DataFrame:
     return _in_batches(spark, sf, "late", _average_rows, [at >= middle, at < middle])
 
 
+def stream_late_counts(spark: Spark, sf: str) -> DataFrame:
+    """The second half of the race arrives first: rows read, kept and dropped, in order of arrival."""
+    first, last = _span(spark, sf)
+    middle = (first + last) // 2 // 5 * 5
+    at, root, read = F.unix_timestamp("time"), shared_path(spark, "late_counts"), {}
+    for part in (at >= middle, at < middle):
+        arrived = fixtures.telemetry(spark, sf).select(*TELEMETRY.names).filter(part)
+        arrived.write.mode("append").parquet(f"{root}/arrived")
+        session = jobs.stream_session(spark, STATE_PARTITIONS)
+        counts = live.window_rows(live.speeds(session.readStream.schema(TELEMETRY).parquet(f"{root}/arrived")))
+        target = FileTarget(f"{root}/table", ["rows"])
+        progress = jobs.drain(to_target(counts, target, f"{root}/checkpoint")).recentProgress
+        read |= {p.batchId: p.numInputRows for p in progress if p.numInputRows}
+    counts = late_counts(spark, f"{root}/checkpoint", f"{root}/table", read)
+    return counts.withColumn("batch", F.when(F.col("batch") == min(read), "first").otherwise("second"))
+
+
 def stream_open_windows(spark: Spark, sf: str) -> DataFrame:
     """Windows of mean speed that a stream still held when it was stopped."""
     root = shared_path(spark, "open")
@@ -465,7 +482,7 @@ def stream_total_replayed(spark: Spark, sf: str) -> DataFrame:
 def stream_total_per_insert(spark: Spark, sf: str) -> DataFrame:
     """A total after each window, over four batches of windows."""
     root = shared_path(spark, "per_insert")
-    target = TotalsTarget(f"{root}/totals", every=2)
+    target = TotalsTarget(f"{root}/totals")
     for session in _climbed_windows(spark, sf, root, _quarters(spark, sf)):
         jobs.drain(to_target(_climbs(session, root), target, f"{root}/second"))
     return spark.read.parquet(f"{root}/totals/rows").select("runner_id", "time", "value")
@@ -638,6 +655,7 @@ QUERIES = {
     "stream_batches_compare": stream_batches_compare,
     "stream_batches_elevation": stream_batches_elevation,
     "stream_late_rows": stream_late_rows,
+    "stream_late_counts": stream_late_counts,
     "stream_open_windows": stream_open_windows,
     "stream_restart": stream_restart,
     "stream_total_replayed": stream_total_replayed,

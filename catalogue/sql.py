@@ -407,6 +407,11 @@ ORACLE = {
     "stream_late_rows": AVERAGE
     + " WHERE " + OUT.format(end="window_end", delay=1)
     + " AND epoch(window_end) > (SELECT (epoch(min(time))::BIGINT + epoch(max(time))::BIGINT) // 2 // 5 * 5 FROM run)",
+    "stream_late_counts": _with(RUN).rstrip() + """,
+      half AS (SELECT time >= make_timestamp((epoch(min(time) OVER ())::BIGINT + epoch(max(time) OVER ())::BIGINT) // 2 // 5 * 5 * 1000000) AS later FROM run)
+      SELECT CASE WHEN later THEN 'first' ELSE 'second' END AS batch, count(*) AS rows_read,
+        CASE WHEN later THEN count(*) ELSE 0 END AS rows_kept, CASE WHEN later THEN 0 ELSE count(*) END AS rows_dropped
+      FROM half GROUP BY later""",
     "stream_open_windows": AVERAGE.replace("SELECT runner_id, window_end - INTERVAL '1 second' AS topic_time, window_end AS time, avg_speed",
                                            "SELECT runner_id, window_end AS time")
     + " WHERE NOT " + OUT.format(end="window_end", delay=1),

@@ -70,11 +70,11 @@ def _of_halves(sums: list[str], width: int) -> str:
     return f"({' + '.join(shifted)})"
 
 
-_SUMS = [f"_s{i}" for i in range(10)]
+SUMS = [f"_s{i}" for i in range(10)]
 
 
-def _with_parts(df: DataFrame, value: Column) -> DataFrame:
-    """``df`` with what each row adds to the sums ``_s0`` to ``_s9``, and its value ``_v``."""
+def with_parts(df: DataFrame, value: Column) -> DataFrame:
+    """``df`` with what each row adds to the sums ``SUMS``, and its value as ``_v``."""
     unit = f"{10**FRACTION}BD"
     fits = f"abs(_v) < {10.0 ** (WIDE - FRACTION) - 1}D and (abs(_v) >= {LEAST}D or _v = 0)"
     steps = [
@@ -84,27 +84,27 @@ def _with_parts(df: DataFrame, value: Column) -> DataFrame:
          "_high": f"case when not _short and {fits} then try_cast(_v as decimal({WIDE},{FRACTION})) end"},
         {"_upper": f"cast((_high - floor(_high)) * {unit} as bigint)",
          "_lower": f"cast(try_cast((_v - cast(_high as double)) * 1e{FRACTION}D as decimal({WIDE},{FRACTION})) * {unit} as bigint)"},
-        dict(zip(_SUMS, [
+        dict(zip(SUMS, [
             *_halves("_w", HALF, 2), "cast(floor(_high) as bigint)", *_halves("_upper", THIRD, 3), *_halves("_lower", THIRD, 3),
             "case when not _short and _high is null then _v end"])),
     ]
     out = df.withColumn("_v", value.cast("double"))
     for step in steps:
         out = out.selectExpr("*", *[f"{text} as {name}" for name, text in step.items()])
-    return out
+    return out.drop(*[name for step in steps[:-1] for name in step])
 
 
-def _from_sums(df: DataFrame, out: str, count: str | None = None) -> DataFrame:
+def from_sums(df: DataFrame, out: str, count: str | None = None) -> DataFrame:
     """``df`` with the double of a sum, or of a mean over ``count``, in place of the sums of the parts."""
     quick = f"_s2 is null and _s9 is null and _s0 between {-(1 << 27)} and {1 << 27}"
     units = (
-        f"cast(coalesce(_s2, 0) as decimal(20,0)) * {10**FRACTION}BD + {_of_halves(_SUMS[3:6], THIRD)}"
-        f" + {_of_halves(_SUMS[:2], HALF)} * {10**9}BD"
+        f"cast(coalesce(_s2, 0) as decimal(20,0)) * {10**FRACTION}BD + {_of_halves(SUMS[3:6], THIRD)}"
+        f" + {_of_halves(SUMS[:2], HALF)} * {10**9}BD"
     )
     # Whole numbers of the last digit's unit, read as text: no rounding before the one to a double.
     read = lambda number, digits: f"cast(concat(cast({number} as string), 'E-{digits}') as double)"
     steps = [
-        {"_long": f"case when {quick} then null else {units} end", "_below": f"case when {quick} then null else {_of_halves(_SUMS[6:9], THIRD)} end"},
+        {"_long": f"case when {quick} then null else {units} end", "_below": f"case when {quick} then null else {_of_halves(SUMS[6:9], THIRD)} end"},
         {"_exact": f"case when _s0 is not null or _s2 is not null then {read('_long', FRACTION)} + {read('_below', 2 * FRACTION)} end"},
         {"_sum": f"case when {quick} then cast(shiftleft(_s0, {HALF}) + _s1 as double) / 1e9D when _s9 is null then _exact "
                  "else coalesce(_exact, 0D) + _s9 end"},
@@ -112,14 +112,14 @@ def _from_sums(df: DataFrame, out: str, count: str | None = None) -> DataFrame:
     for step in steps:
         df = df.selectExpr("*", *[f"{text} as {name}" for name, text in step.items()])
     result = F.expr(f"try_divide(_sum, {count})" if count else "_sum")
-    return df.withColumn(out, result).drop("_long", "_below", "_exact", "_sum", *_SUMS, *([count] if count else []))
+    return df.withColumn(out, result).drop("_long", "_below", "_exact", "_sum", *SUMS, *([count] if count else []))
 
 
 def exact_by(df: DataFrame, keys: list[str | Column], value: Column, out: str, *more: Column, mean: bool = True) -> DataFrame:
     """Per group the mean (or the sum) of a double as ``out``, after the keys and ``more`` aggregates."""
-    sums = [F.expr(f"sum({s})").alias(s) for s in _SUMS]
-    grouped = _with_parts(df, value).groupBy(*keys).agg(*more, *sums, F.expr("count(_v)").alias("_count"))
-    return _from_sums(grouped, out, "_count") if mean else _from_sums(grouped.drop("_count"), out)
+    sums = [F.expr(f"sum({s})").alias(s) for s in SUMS]
+    grouped = with_parts(df, value).groupBy(*keys).agg(*more, *sums, F.expr("count(_v)").alias("_count"))
+    return from_sums(grouped, out, "_count") if mean else from_sums(grouped.drop("_count"), out)
 
 
 def recency_weighted_mean(

@@ -1,10 +1,9 @@
 """Running total per key in two levels, so that one busy key spreads over many tasks."""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.operators.aggregates import exact_parts, put_together
+from paceline.operators.aggregates import SUMS, from_sums, with_parts
 from paceline.operators.joins import join_same
 
 
@@ -18,22 +17,17 @@ def running_total(
     only as many as there are spans (days) in the data. Adding is exact (see ``aggregates``).
     """
     spans = df.withColumn("_span", F.floor(F.unix_timestamp(time) / span_seconds))
-    parts = exact_parts(F.col(value))
-    before = W.partitionBy(key).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
+    parts = with_parts(spans, F.col(value)).drop("_v")
+    before = f"over (partition by `{key}` order by _span rows between unbounded preceding and 1 preceding)"
     offsets = (
-        spans.groupBy(key, "_span")
-        .agg(*[F.sum(part).alias(f"_sum{i}") for i, part in enumerate(parts)])
-        .select(key, "_span", *[F.sum(f"_sum{i}").over(before).alias(f"_before{i}") for i in range(3)])
+        parts.groupBy(key, "_span")
+        .agg(*[F.sum(s).alias(s) for s in SUMS])
+        .selectExpr(f"`{key}`", "_span", *[f"sum({s}) {before} as _before{s}" for s in SUMS])
     )
-    within = (
-        W.partitionBy(key, "_span").orderBy(time).rowsBetween(W.unboundedPreceding, W.currentRow)
+    within = f"over (partition by `{key}`, _span order by `{time}` rows between unbounded preceding and current row)"
+    running = parts.selectExpr(*[f"`{c}`" for c in spans.columns], *[f"sum({s}) {within} as _within{s}" for s in SUMS])
+    both = join_same(running, offsets, [key, "_span"]).selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"coalesce(_within{s} + _before{s}, _within{s}, _before{s}) as {s}" for s in SUMS],
     )
-    running = spans.withColumns({f"_within{i}": F.sum(part).over(within) for i, part in enumerate(parts)})
-
-    def both(i: int) -> Column:
-        one, other = F.col(f"_before{i}"), F.col(f"_within{i}")
-        return F.coalesce(one + other, one, other)
-
-    total = F.coalesce(put_together(both(0), both(1), both(2)), F.lit(0.0))
-    helpers = [f"_{name}{i}" for name in ("within", "before") for i in range(3)]
-    return join_same(running, offsets, [key, "_span"]).withColumn(out, total).drop("_span", *helpers)
+    return from_sums(both, out).withColumn(out, F.coalesce(out, F.lit(0.0)))

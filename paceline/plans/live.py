@@ -42,6 +42,12 @@ def average_speeds(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
     return means.withColumn("avg_speed", F.round("avg_speed", 4))
 
 
+def window_rows(speed: DataFrame, delay: str = SPEED_DELAY) -> DataFrame:
+    """How many rows each runner and window has, under the same watermark as the means."""
+    windows = speed.withWatermark("time", delay).groupBy("runner_id", F.window("time", WINDOW))
+    return windows.agg(F.count("*").alias("rows"))
+
+
 def topic_time() -> Column:
     """Time of a window on its topic: its last second, as the end is not part of it."""
     return F.col("window.end") - second()

@@ -111,6 +111,14 @@ class TotalsTarget:
         return StateTable(f"{self.path}/state", schema, (self.key,), self.every)
 
     def __call__(self, batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                self._write(batch, number)
+        finally:
+            batch.unpersist()
+
+    def _write(self, batch: DataFrame, number: int) -> None:
         spark, state = batch.sparkSession, self.state()
         before = state.read(spark, number).select(F.col(self.key).alias("_key"), F.col("total").alias("_before"))
         running = running_total(batch, self.key, self.time, self.value, "_within")
@@ -118,7 +126,6 @@ class TotalsTarget:
         total = F.round(F.coalesce("_before", F.lit(0.0)) + F.col("_within"), self.digits)
         rows = met.select(self.key, self.time, total.alias(self.value)).persist()
         try:
-            # Rows of equal time have one total each; the state takes that of the last.
             last = rows.groupBy(self.key).agg(F.max_by(self.value, self.time).alias("total"))
             state(last, number)
             FileTarget(f"{self.path}/rows")(rows, number)
@@ -126,6 +133,32 @@ class TotalsTarget:
             rows.unpersist()
 
 
+def late_counts(spark: SparkSession, checkpoint: str, table: str, read: dict[int, int]) -> DataFrame:
+    """(batch, rows_read, rows_kept, rows_dropped) of a stream of ``live.window_rows`` to a ``FileTarget``.
+
+    ``read`` has the rows each batch read, as its progress tells. What a batch kept is what it wrote and what the
+    state has more than before; the rest came behind the watermark. The progress itself counts late groups of
+    partial sums, not rows. Only as many batches back as the checkpoint keeps.
+    """
+    written = spark.read.schema("rows long, batch long").parquet(table).groupBy("batch").agg(F.sum("rows").alias("n"))
+
+    def held(batch: int) -> DataFrame:
+        if batch < 0:
+            return spark.range(0).select(F.lit(0).cast("long").alias("n"))
+        state = spark.read.format("statestore").option("batchId", batch).load(checkpoint)
+        return state.select(F.col("value.count").alias("n"))
+
+    found = None
+    for batch, rows in sorted(read.items()):
+        signed = held(batch).union(held(batch - 1).select(-F.col("n"))).union(written.filter(F.col("batch") == batch).select("n"))
+        kept = signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_kept"))
+        one = kept.select(F.lit(batch).cast("long").alias("batch"), F.lit(rows).cast("long").alias("rows_read"), "rows_kept")
+        found = one if found is None else found.union(one)
+    if found is None:
+        found = spark.createDataFrame([], "batch long, rows_read long, rows_kept long")
+    return found.withColumn("rows_dropped", F.col("rows_read") - F.col("rows_kept"))
+
+
 def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Windows that a stopped stream still holds in its first stateful operator: runner, start and end.
 
