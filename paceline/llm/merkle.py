@@ -89,9 +89,17 @@ class Manifest:
     root: str | None
 
 
-def manifest(df: DataFrame, group: str, order: Sequence[str], digest: str = "leaf") -> Manifest:
+OWN = {"part", "at", "tree", "pos", "n", "first", "shift", "level", "hash", "up", "_group", "_part", "_salt", "_all", "proof_sha256", "folded_root", "subroot"}
+
+
+def manifest(df: DataFrame, group: str, order: Sequence[str], digest: str = "leaf", keep: Sequence[str] = ()) -> Manifest:
     """Trees over the rows of ``df``, which has its leaves' digests in a column; reads ``df`` more than once,
-    so it should be stored."""
+    so it should be stored. Columns other than these and ``keep`` are left out, whatever their names; a column in
+    use may not have a name of ``OWN``."""
+    names = list(dict.fromkeys([group, *order, digest, *keep]))
+    if taken := OWN & {name.lower() for name in names}:
+        raise ValueError(f"columns of the manifest's own: {sorted(taken)}")
+    df = df.select(*[F.col(f"`{name}`") for name in names])
     rows, runs = _placed(df, group, [*order, digest], "leaves")
     groups = stored(runs.select(group, "n").distinct(), "groups")
     ranked, starts = _placed(groups.withColumn("_all", F.lit(0)), "_all", [group], "trees")

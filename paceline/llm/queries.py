@@ -128,7 +128,7 @@ def op13_merkle(spark: Spark, sf: str) -> DataFrame:
     folded = merkle.leaf([*(fields | {"text": F.translate("text", UPPER, LOWER)}).values()])
     tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     leaves = stored(docs.select("doc_id", "lang", merkle.leaf([*fields.values()]).alias("leaf"), F.when(tampers, folded).alias("tampered")), "documents")
-    made = merkle.manifest(leaves, "lang", ["doc_id"])
+    made = merkle.manifest(leaves, "lang", ["doc_id"], keep=["tampered"])
     proved = merkle.prove(made, made.rows).join(made.roots, "tree")
     root = F.lit(made.root).cast("string")
     return proved.select("doc_id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))

@@ -244,8 +244,9 @@ ROWS = (
 
 
 def built(spark, rows):
-    table = spark.createDataFrame([(*r, digest(r[2]), 1, 2, 3) for r in rows], "doc_id long, lang string, text string, leaf string, pos2 int, at2 int, n2 int")
-    return merkle.manifest(table.select("doc_id", "lang", "leaf", F.when(F.col("doc_id") % 3 == 0, F.sha2("text", 224)).alias("tampered"), "n2"), "lang", ["doc_id"])
+    table = spark.createDataFrame([(*r, digest(r[2]), 1, 2, 3) for r in rows], "doc_id long, lang string, text string, leaf string, pos int, part int, n2 int")
+    tampered = F.when(F.col("doc_id") % 3 == 0, F.sha2("text", 224)).alias("tampered")
+    return merkle.manifest(table.select("*", tampered), "lang", ["doc_id"], keep=["tampered", "n2"])
 
 
 @pytest.mark.parametrize("run", [7, 1 << 14])
@@ -288,8 +289,10 @@ def test_a_partition_fetches_only_what_it_lacks():
 
 def test_manifest_of_nothing_and_of_one(spark):
     none = built(spark, ROWS).rows.limit(0)
-    made = merkle.manifest(none.select("doc_id", "lang", "leaf", "tampered", "n2"), "lang", ["doc_id"])
+    made = merkle.manifest(none, "lang", ["doc_id"], keep=["tampered"])
     assert made.root is None and merkle.prove(made, made.rows).count() == 0
+    with pytest.raises(ValueError, match="pos"):
+        merkle.manifest(none, "lang", ["pos"])
     one = built(spark, ROWS[:1])
     row = merkle.prove(one, one.rows).first()
     assert one.root == row.leaf and row.proof_sha256 == digest("")
