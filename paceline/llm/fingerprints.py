@@ -219,18 +219,19 @@ class _Seen:
         walk = self.half.feed(begin)
         edited = self.text[: len(self.text) - self.cut] + begin
         return {
-            "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(), "edited_fingerprint": walk.hex(),
+            "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(), "edited_fingerprint": walk.values.tobytes(),
             "near_edited": float(np.mean(walk.values == self.whole.values)), "near_next": float(np.mean(print_ == self.whole.values)),
         }
 
 
-_EDITED = "edited_sha256 string, edited_fingerprint string, near_edited double, near_next double"
-_OUT = f"doc_id long, n_chars long, fingerprint string, {_EDITED}"
+# Fingerprints as bytes until the end: they are stored once on the way.
+_EDITED = "edited_sha256 string, edited_fingerprint binary, near_edited double, near_next double"
+_OUT = f"doc_id long, n_chars long, fingerprint binary, {_EDITED}"
 _EDGES = f"{_OUT}, part int, first_text string, last_text string"
 
 
 def _table(rows: list[dict], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64()}
     fields = [f.split(" ") for f in schema.split(", ")]
     return pa.RecordBatch.from_pylist(rows, pa.schema([(n, kinds[k]) for n, k in fields]))
 
@@ -254,7 +255,7 @@ def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _row(seen: _Seen, part: int, first: str | None) -> dict:
-    return {"doc_id": seen.doc_id, "n_chars": len(seen.text), "fingerprint": seen.whole.hex(), "part": part, "first_text": first}
+    return {"doc_id": seen.doc_id, "n_chars": len(seen.text), "fingerprint": seen.whole.values.tobytes(), "part": part, "first_text": first}
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,8 +264,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for doc_id, text, after, print_ in zip(*(c.to_pylist() for c in batch.columns)):
             seen = _Seen(doc_id, text)
-            out.append({"doc_id": doc_id, "n_chars": len(text), "fingerprint": seen.whole.hex()}
-                       | seen.edited(after, np.frombuffer(bytes.fromhex(print_), "u1")))
+            out.append({"doc_id": doc_id, "n_chars": len(text), "fingerprint": seen.whole.values.tobytes()}
+                       | seen.edited(after, np.frombuffer(print_, "u1")))
         yield _table(out, _OUT)
 
 
@@ -287,4 +288,5 @@ def with_next(docs: DataFrame) -> DataFrame:
     last = done.filter("last_text is not null").select("doc_id", "last_text", "part")
     edges = last.join(after, "part").join(first, "after").select("doc_id", "last_text", "first_text", "first_print")
     names = [f.split(" ")[0] for f in _OUT.split(", ")]
-    return done.filter("last_text is null").select(*names).union(edges.mapInArrow(_across, _OUT).select(*names))
+    whole = done.filter("last_text is null").select(*names).union(edges.mapInArrow(_across, _OUT).select(*names))
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
