@@ -5,8 +5,9 @@ and what it cannot give is shared again by weight among the others. Each source'
 on a line, repeated end to end as often as its target needs, cut into blocks of equal words. Slot k of
 the schedule has the point frac(k * golden ratio); the source whose stretch of cumulative shares holds
 the point owns the slot, and the slot's rank among that source's slots is the block it takes. Sources
-so appear evenly at every scale of the schedule. Blocks left without a slot (the sequence is off by a
-few points) close the schedule, none is lost.
+so appear evenly at every scale of the schedule. The schedule has as many slots as there are blocks; the
+sequence is off by a few points, so slots that find their source's blocks used up go in order to the blocks
+still open. Words are taken by the inner join of slots with blocks and in no other way.
 
 No task holds a source: rows and slots are placed on their lines in some sqrt(n) runs, the join of
 slots with cumulative shares is an equality of grid cells, blocks and slots meet one to one. Sources
@@ -74,16 +75,16 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int
     )
 
 
-def slots(shares: DataFrame, count: int) -> DataFrame:
-    """(slot, place, rank): the schedule's ``count`` slots, each with its source and its rank there."""
+def slots(shares: DataFrame, count: int, step: float = GOLDEN, cells: int = CELLS) -> DataFrame:
+    """(slot, place, rank): ``count`` slots, each with the source that holds its point and its rank there."""
     spark = shares.sparkSession
-    # frac(k * golden) in two steps keeps its digits for long schedules.
-    step = 2**20 * GOLDEN % 1.0
+    # frac(k * step) in two steps keeps its digits for long schedules.
+    stride = 2**20 * step % 1.0
     high, low = F.floor(F.col("id") / 2**20), F.col("id") % 2**20
-    points = spark.range(count).select(F.col("id").alias("slot"), ((high * step % 1.0 + low * GOLDEN) % 1.0).alias("point"))
-    points = points.withColumn("cell", F.floor(F.col("point") * CELLS))
-    cells = F.sequence(F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1)))
-    grid = shares.filter("hi > lo").select("place", "lo", "hi", F.explode(cells).alias("grid_cell"))
+    points = spark.range(count).select(F.col("id").alias("slot"), ((high * stride % 1.0 + low * step) % 1.0).alias("point"))
+    points = points.withColumn("cell", F.floor(F.col("point") * cells))
+    stretch = F.sequence(F.floor(F.col("lo") * cells), F.least(F.floor(F.col("hi") * cells), F.lit(cells - 1)))
+    grid = shares.filter("hi > lo").select("place", "lo", "hi", F.explode(stretch).alias("grid_cell"))
     owned = points.join(
         grid, (points.cell == grid.grid_cell) & (points.point >= grid.lo) & (points.point < grid.hi)
     ).select("slot", "place")
@@ -99,9 +100,28 @@ def slots(shares: DataFrame, count: int) -> DataFrame:
         "slot", "place", (F.col("base") + F.col("inside")).alias("rank"))
 
 
+def schedule(shares: DataFrame, block: int = BLOCK, step: float = GOLDEN) -> DataFrame:
+    """(slot, place, rank): each slot with the block it takes.
+
+    A slot whose source has no block left goes to a block left open, in order: some log(slots) for each source.
+    """
+    wanted = shares.select("place", F.ceil(F.col("quota") / block).cast("long").alias("blocks"))
+    sources, count = wanted.agg(F.count("*"), F.coalesce(F.sum("blocks"), F.lit(0))).first()
+    # As many cells as sources at least, so a point meets few stretches.
+    owned = stored(slots(shares, count, step, max(CELLS, 4 * sources)), "slots")
+    found = owned.join(wanted, "place")
+    used = found.filter("rank < blocks").select("slot", "place", "rank")
+    spare = found.filter("rank >= blocks").select("slot", F.row_number().over(Window.orderBy("slot")).alias("n"))
+    have = owned.groupBy("place").agg(F.count("*").alias("have"))
+    short = wanted.join(have, "place", "left").withColumn("have", F.coalesce("have", F.lit(0))).filter("have < blocks")
+    open_blocks = short.select("place", F.explode(F.sequence("have", F.col("blocks") - 1)).alias("rank"))
+    open_blocks = open_blocks.withColumn("n", F.row_number().over(Window.orderBy("rank", "place")))
+    return used.union(spare.join(open_blocks, "n").select("slot", "place", "rank"))
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3, block: int = BLOCK,
-    keep: Sequence[str] = ("doc_id",), text: str = "text", source: str = "source",
+    keep: Sequence[str] = ("doc_id",), text: str = "text", source: str = "source", step: float = GOLDEN,
 ) -> tuple[DataFrame, DataFrame]:
     """The placed rows, and the schedule's pieces.
 
@@ -119,8 +139,6 @@ def mix(
         named.select("named", "place", "source_size", "target", "quota"), line.source.eqNullSafe(named.named)
     ).drop("named")
     placed = stored(placed, "placed")
-    total = shares.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
-    schedule = slots(shares, total // block + 1 if total else 0)
 
     # A pass over the source shifts a row by the source's size; words beyond the quota are not taken.
     passes = F.explode(F.sequence(F.lit(0), F.ceil(F.col("quota") / F.col("source_size")).cast("int") - 1))
@@ -134,13 +152,11 @@ def mix(
     begin, end = F.greatest("a", F.col("rank") * block), F.least("b", (F.col("rank") + 1) * block)
     pieces = taken.select(
         "place", "rank", "start", "size", "copy", (begin - F.col("a")).alias("first"), (end - begin).alias("words")
-    ).join(schedule, ["place", "rank"], "left")
-    # Blocks that met no slot follow the others, dealt by hash.
-    late = F.lit(2**40) + F.pmod(F.xxhash64("place", "rank"), F.lit(2**40))
-    return placed, pieces.withColumn("slot", F.coalesce("slot", late)).drop("rank")
+    ).join(schedule(shares, block, step), ["place", "rank"])
+    return placed, pieces.drop("rank")
 
 
 def words_taken(placed: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The placed rows, each with the words that the mix takes of it, repeats counted."""
-    sums = pieces.groupBy("place", "start", "size").agg(F.sum("words").alias("taken"))
+    """The placed rows, each with the words that its slots take of it, repeats counted, and its first slot (null if none)."""
+    sums = pieces.groupBy("place", "start", "size").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     return placed.join(sums, ["place", "start", "size"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))

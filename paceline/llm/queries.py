@@ -21,7 +21,7 @@ def _read(spark: Spark, sf: str, table: str) -> DataFrame:
 
 def op1_source_mix(spark: Spark, sf: str) -> DataFrame:
     placed, pieces = mixing.mix(_read(spark, sf, "documents"))
-    return mixing.words_taken(placed, pieces).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.words_taken(placed, pieces).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op2_top_k(spark: Spark, sf: str) -> DataFrame:
