@@ -1,12 +1,18 @@
 """Format-preserving pseudonyms for personal data and secrets.
 
 Found and checked values are replaced by a keyed permutation of all values of the same format: cards
-(13 to 19 digits with a right check digit, which the pseudonym has too), telephone and social
-security numbers, dates of the calendar (day, month or year first, with - / or ., of one or two digits, also before T and a time), IPv4 addresses, e-mail addresses, access keys, and
+(13 to 19 digits with a right check digit, which the pseudonym has too), IBANs (with right check digits, likewise), telephone and social
+security numbers, dates of the calendar (day, month or year first, with - / or ., of one or two digits, also before T and a time; or with
+an English month), IPv4 addresses, e-mail addresses, access keys, and
 values of passwords and tokens. A value that fails its check (a wrong check digit, a day that does not
 exist, an octet above 255) stays as it is. Equal values get equal pseudonyms in every document, different
 ones different pseudonyms.
 
+What is permuted is the value, not the way it is written: a card's, an IBAN's or a telephone number's bare characters and a
+date's day number move, and the result is written in the layout that was found. So `4111 1111 1111 1111` and `4111111111111111`
+are one card, `2024-01-02`, `02.01.2024` and `2 January 2024` one day, `+1 (212) 555-0123` and `212-555-0123` one number. Dates with a
+one-digit day or month keep the shape they have and are linked only within it.
+
 The permutation is a Feistel network. Texts are halved and each character is moved within its own kind
 (digits, lower case, upper case; letters a to f in hexadecimal tokens), other characters stay in
 place. Dates are numbered within four hundred years, 146,097 = 189 x 773 days (with a one-digit day or month: within
@@ -28,16 +34,19 @@ from pyspark.sql import functions as F
 from paceline.llm.tables import fresh
 
 ROUNDS = 6
+MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 # What is looked for.
 KINDS = {
-    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_key|apikey)[\"']?\s*[=:]\s*[\"']?[A-Za-z0-9+/_-]{6,}",
+    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret(?:[_-](?:access[_-])?key)?|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?(?:[^\s\"'<>(),;&]|&(?!\w+=)){5,}[A-Za-z0-9+/_-]",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "email": r"(?<![\p{L}\d._%+-])[\p{L}\d][\p{L}\d._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)",
     "phone": r"(?<!\w)\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\d)|(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
              r"|(?<![\w.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "date": r"(?<![\w-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}-\d{1,2}-\d{4})(?:(?=T\d\d)|(?![\w-]))|(?<![\w/])(?:\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4})(?:(?=T\d\d)|(?![\w/]))"
-            r"|(?<![\w.])(?:\d{4}\.\d{1,2}\.\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=T\d\d)|(?!\w|\.\d))",
+            r"|(?<![\w.])(?:\d{4}\.\d{1,2}\.\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=T\d\d)|(?!\w|\.\d))"
+            rf"|(?<!\w)(?:\d{{1,2}} (?:{MONTHS}) \d{{4}}|(?:{MONTHS}) \d{{1,2}}, \d{{4}})(?!\w)",
     "card": r"(?<!\w)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w)",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
 }
@@ -111,15 +120,53 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), step)
 
 
+def in_layout(value: Column, bare: Column, kept: str = "0-9") -> Column:
+    """``value`` with its characters of the kind ``kept`` replaced, in order, by those of ``bare``."""
+    gaps, new = F.split(value, f"[{kept}]", -1), F.split(bare, "")
+    return F.array_join(F.zip_with(gaps, new, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit("")))), "")
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _digits(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
+
+
 def _card(value: Column, key: str) -> Column:
-    body = permuted_text(F.substring(value, F.lit(1), F.length(value) - 1), key, "card")
+    digits = _digits(value)
+    body = permuted_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
 
     def checked(pseudonym: Column) -> Column:
-        rest = luhn_sum(F.concat(F.regexp_replace(pseudonym, "[^0-9]", ""), F.lit("0")))
-        return F.concat(pseudonym, ((10 - rest % 10) % 10).cast("string"))
+        rest = luhn_sum(F.concat(pseudonym, F.lit("0")))
+        return in_layout(value, F.concat(pseudonym, ((10 - rest % 10) % 10).cast("string")))
+
+    return F.when(luhn_sum(digits) % 10 == 0, _once(body, checked))
+
 
-    with_digit = F.element_at(F.transform(F.array(body), checked), 1)
-    return F.when(luhn_sum(F.regexp_replace(value, "[^0-9]", "")) % 10 == 0, with_digit)
+def iban_rest(bare: Column) -> Column:
+    """The remainder by 97 of a bare IBAN, its first four characters last and letters as 10 to 35."""
+    turned = F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, F.lit(1), F.lit(4)))
+
+    def step(rest: Column, c: Column) -> Column:
+        letter = F.ascii(c) - 55
+        return F.when(letter >= 10, rest * 100 + letter).otherwise(rest * 10 + F.ascii(c) - 48) % 97
+
+    return F.aggregate(F.split(turned, ""), F.lit(0), step)
+
+
+def _iban(value: Column, key: str) -> Column:
+    bare = F.regexp_replace(value, " ", "")
+    account = permuted_text(F.substring(bare, F.lit(5), F.length(bare)), key, "iban")
+    country = F.substring(bare, F.lit(1), F.lit(2))
+
+    def checked(pseudonym: Column) -> Column:
+        check = 98 - iban_rest(F.concat(country, F.lit("00"), pseudonym))
+        return in_layout(value, F.concat(country, F.lpad(check.cast("string"), 2, "0"), pseudonym), "A-Z0-9")
+
+    return F.when(F.length(bare).between(15, 34) & (iban_rest(bare) == 1), _once(account, checked))
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -169,11 +216,17 @@ def _date(value: Column, key: str) -> Column:
         leap = F.array_position(F.array(*map(F.lit, LEAP)), year)
         short.append(found(right & (month == "2") & (day == "29") & (leap > 0), F.lit(f"{order}|leap"), leap - 1, 1, len(LEAP)))
 
+    for layout in ("d MMMM yyyy", "MMMM d, yyyy"):
+        number = F.datediff(F.to_date(F.try_to_timestamp(value, F.lit(layout))), F.lit(YEARS_FROM).cast("date"))
+        whole.append(found(value.rlike("[a-z]") & (number >= 0) & (number < DAYS[0] * DAYS[1]), F.lit(layout), number, *DAYS))
+
     def moved(at: Column) -> Column:
-        other = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{key}|"), at["kind"]), 256), 1, 12), 16, 10).cast("long")
+        # The order and the marks are not part of the value.
+        kind = F.when(at["rows"] == DAYS[0], F.lit("date")).otherwise(F.substring(at["kind"], 5, 9))
+        other = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{key}|"), kind), 256), 1, 12), 16, 10).cast("long")
         # 29 February goes to another leap year.
         next_leap = (at["number"] + other % (len(LEAP) - 1) + 1) % len(LEAP)
-        new = F.when(at["rows"] == 1, next_leap).otherwise(permuted_number(at["number"], key, at["kind"], at["rows"], at["columns"]))
+        new = F.when(at["rows"] == 1, next_leap).otherwise(permuted_number(at["number"], key, kind, at["rows"], at["columns"]))
         return F.struct(at["kind"].alias("kind"), new.cast("int").alias("number"))
 
     def written(at: Column) -> Column:
@@ -194,7 +247,7 @@ def _date(value: Column, key: str) -> Column:
 
 
 def _secret(value: Column, key: str) -> Column:
-    lead = F.regexp_extract(value, r"^\w+[\"']?\s*[=:]\s*[\"']?", 0)
+    lead = F.regexp_extract(value, r"^[\w-]+[\"']?\s*[=:]\s*[\"']?", 0)
     rest = F.substring(value, F.length(lead) + 1, F.length(value))
     new = F.when(rest.rlike("^[0-9a-f]+$"), permuted_text(rest, key, "hex", 6)).otherwise(permuted_text(rest, key, "secret"))
     return F.concat(lead, new)
@@ -211,15 +264,17 @@ def _email(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
-    new = F.when(value.startswith("+"), _after(value, 2, key, "phone")).otherwise(permuted_text(value, key, "phone"))
-    return F.when(digits.between(8, 15), new)
+    digits = _digits(value)
+    # The first digit of a country's code stays; what follows +1 is a number as it is written without.
+    kept = F.when(value.startswith("+"), 1).otherwise(0)
+    new = F.concat(F.substring(digits, F.lit(1), kept), permuted_text(F.substring(digits, kept + 1, F.length(digits)), key, "phone"))
+    return F.when(F.length(digits).between(8, 15), in_layout(value, new))
 
 
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one match of the pattern, or the value itself if its check fails."""
     replaced = {
-        "secret": _secret(value, key), "email": _email(value, key), "ip": _ip(value, key), "phone": _phone(value, key),
+        "secret": _secret(value, key), "iban": _iban(value, key), "email": _email(value, key), "ip": _ip(value, key), "phone": _phone(value, key),
         "ssn": permuted_text(value, key, "ssn"), "date": _date(value, key), "card": _card(value, key),
         "key": _after(value, 4, key, "key"),
     }
