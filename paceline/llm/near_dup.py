@@ -103,8 +103,8 @@ def shingle_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
         yield np.unique(out)
 
 
-def _batches(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about so many bytes of text, or one text."""
+def _batches(batch: pa.RecordBatch, most: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about so many bytes of text, or one text: hashing takes some 50 bytes of memory a byte."""
     lengths = np.array(pc.binary_length(batch.column("text"))) + 1
     cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // most)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
